@@ -27,10 +27,21 @@ def fingerprint(text: Column) -> Column:
     away paragraphs without the rest of the text. An empty text is one empty paragraph.
     """
     text = F.coalesce(text, F.lit(""))
-    digests = F.transform(F.split(text, "\n", -1), lambda p: F.sha2(p, 256))
+    return let(counts(text), lambda c: F.concat(_exact(text), _digits(c)))
+
+
+def counts(text: Column) -> Column:
+    """The near part as numbers: the counts of a text's pieces by cell."""
     hashes = F.transform(F.regexp_extract_all(text, F.lit(PIECES), F.lit(0)), lambda p: F.xxhash64(p))
-    near = let(hashes, lambda hs: F.concat(*[_counts(hs, 6 * g) for g in range(NEAR)]))
-    return F.concat(let(digests, _sums), near)
+    return let(hashes, lambda hs: F.flatten(F.array(*[_cells(hs, 6 * g) for g in range(NEAR)])))
+
+
+def _exact(text: Column) -> Column:
+    return let(F.transform(F.split(text, "\n", -1), lambda p: F.sha2(p, 256)), _sums)
+
+
+def _digits(c: Column) -> Column:
+    return F.array_join(F.transform(c, lambda x: _hex(x, 4)), "")
 
 
 def _sums(digests: Column) -> Column:
@@ -39,12 +50,12 @@ def _sums(digests: Column) -> Column:
     return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(LANES - 1)), lambda i: _hex(lane(i), 8)), "")
 
 
-def _counts(hashes: Column, shift: int) -> Column:
+def _cells(hashes: Column, shift: int) -> Column:
     """Each piece writes the letter of its cell; counting the letters sums the vectors of counts."""
     letter = lambda h: F.substring(F.lit(ALPHABET), F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(63)).cast("int") + 1, F.lit(1))
-    count = lambda line, c: _hex((F.length(line) - F.length(F.replace(line, c))) % 65536, 4)
+    count = lambda line, c: ((F.length(line) - F.length(F.replace(line, c))) % 65536).cast("long")
     letters = F.array(*map(F.lit, ALPHABET))
-    return let(F.array_join(F.transform(hashes, letter), ""), lambda line: F.array_join(F.transform(letters, lambda c: count(line, c)), ""))
+    return let(F.array_join(F.transform(hashes, letter), ""), lambda line: F.transform(letters, lambda c: count(line, c)))
 
 
 def _numbers(fp: Column, at: int, digits: int, n: int) -> Column:
@@ -64,17 +75,28 @@ def combine(a: Column, b: Column, take_away: bool = False) -> Column:
 def likeness(a: Column, b: Column) -> Column:
     """How alike two fingerprints are, 0 to 1: 2 x.y / (x.x + y.y) over the centred counts, which estimates the share
     of pieces in common. 1 for equal fingerprints; 0 where nothing is in common."""
-    total = lambda v: F.aggregate(v, F.lit(0).cast("long"), lambda s, e: s + e)
-    dot = lambda v, w: total(F.zip_with(v, w, lambda p, q: p * q)).cast("double")
+    numbers = F.array(*[_numbers(c, EXACT_DIGITS, 4, COUNTS) for c in (a, b)])
+    sums = lambda z: F.array(_total(z[0]), _total(z[1]), _dot(z[0], z[1]), _dot(z[0], z[0]), _dot(z[1], z[1]))
+    value = let(let(numbers, sums), lambda s: alike(s[2], s[0], s[1], _centred(s[3], s[0], s[0]) + _centred(s[4], s[1], s[1])))
+    return F.when(a == b, 1.0).otherwise(value)
+
 
-    def share(x: Column, y: Column) -> Column:
-        nx, ny, cells = total(x).cast("double"), total(y).cast("double"), float(COUNTS)
-        xy, norms = dot(x, y) - nx * ny / cells, dot(x, x) - nx * nx / cells + dot(y, y) - ny * ny / cells
-        return F.when(norms > 0, 2 * xy / norms).otherwise(0.0)
+def _total(v: Column) -> Column:
+    return F.aggregate(v, F.lit(0).cast("long"), lambda s, e: s + e)
 
-    both = F.array(*[_numbers(c, EXACT_DIGITS, 4, COUNTS) for c in (a, b)])
-    value = let(both, lambda z: share(z[0], z[1]))
-    return F.when(a == b, 1.0).otherwise(F.least(F.greatest(value, F.lit(0.0)), F.lit(1.0)))
+
+def _dot(v: Column, w: Column) -> Column:
+    return _total(F.zip_with(v, w, lambda p, q: p * q))
+
+
+def _centred(xy: Column, n: Column, m: Column) -> Column:
+    return xy.cast("double") - n.cast("double") * m.cast("double") / COUNTS
+
+
+def alike(xy: Column, n: Column, m: Column, norms: Column) -> Column:
+    """likeness() from the product of two arrays of counts, their sums, and the sum of their own centred products."""
+    share = F.try_divide(2 * _centred(xy, n, m), norms)
+    return F.coalesce(F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0)), F.lit(0.0))
 
 
 def successors(ids: DataFrame) -> DataFrame:
@@ -93,7 +115,7 @@ def successors(ids: DataFrame) -> DataFrame:
 
 
 def edited(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_chars, text, fingerprint, edited_text, next_fingerprint) for docs (doc_id, text).
+    """(doc_id, n_chars, text, own, edited_text, next) for docs (doc_id, text); own and next: struct<fp, counts>.
 
     The edited text has the last floor(n_chars / 2) code points replaced by the first as many (or all) of the next
     document. Null texts count as empty; rows without an id are left out; rows that repeat an id are each edited with
@@ -103,14 +125,23 @@ def edited(docs: DataFrame) -> DataFrame:
     order = successors(flat.select("doc_id").distinct())
     half = flat.groupBy("doc_id").agg((F.max(F.length("text")) / 2).cast("int").alias("room"))
     wanted = order.join(half, "doc_id").select(F.col("doc_id").alias("before"), F.col("next_id").alias("doc_id"), "room")
-    starts = flat.join(wanted, "doc_id").select("before", F.substring(F.col("text"), F.lit(1), F.col("room")).alias("start"), fingerprint(F.col("text")).alias("next_fingerprint"))
-    start = starts.groupBy(F.col("before").alias("doc_id")).agg(F.min(F.struct("start", "next_fingerprint")).alias("s"))
+    starts = flat.join(wanted, "doc_id").select("before", F.substring(F.col("text"), F.lit(1), F.col("room")).alias("start"), _both(F.col("text")).alias("next"))
+    start = starts.groupBy(F.col("before").alias("doc_id")).agg(F.min(F.struct("start", "next")).alias("s"))
     n, half_n = F.length("text"), F.floor(F.length("text") / 2).cast("int")
     changed = F.concat(F.substring(F.col("text"), F.lit(1), n - half_n), F.substring(F.col("s.start"), F.lit(1), half_n))
-    return flat.join(start, "doc_id").select("doc_id", n.cast("long").alias("n_chars"), "text", fingerprint(F.col("text")).alias("fingerprint"), changed.alias("edited_text"), F.col("s.next_fingerprint").alias("next_fingerprint"))
+    return flat.join(start, "doc_id").select("doc_id", n.cast("long").alias("n_chars"), "text", _both(F.col("text")).alias("own"), changed.alias("edited_text"), F.col("s.next").alias("next"))
+
+
+def _both(text: Column) -> Column:
+    """fp with its counts, their sum n, and their own centred product, so that each is taken once."""
+    made = lambda c: F.struct(F.concat(_exact(text), _digits(c)).alias("fp"), c.alias("counts"), _total(c).alias("n"), _dot(c, c).alias("xx"))
+    return let(let(counts(text), made), lambda s: s.withField("norm", _centred(s["xx"], s["n"], s["n"])))
 
 
 def compared(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited text, with their likeness, and that to the next document."""
-    out = edited(docs).withColumn("edited_fingerprint", fingerprint(F.col("edited_text")))
-    return out.select("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"), likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
+    out = edited(docs).withColumn("changed", _both(F.col("edited_text")))
+    col = lambda side, name: F.col(f"{side}.{name}")
+    value = lambda o: alike(_dot(col("own", "counts"), col(o, "counts")), col("own", "n"), col(o, "n"), col("own", "norm") + col(o, "norm"))
+    near = lambda o: F.when(col("own", "fp") == col(o, "fp"), 1.0).otherwise(value(o))
+    return out.select("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), F.col("own.fp").alias("fingerprint"), F.col("changed.fp").alias("edited_fingerprint"), near("changed").alias("near_edited"), near("next").alias("near_next"))

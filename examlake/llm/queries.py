@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from examlake.llm import huffman, mixing, multiset_hash, secret_scan, simhash, topk, warc
+from examlake.llm import huffman, linededup, mixing, multiset_hash, pieces, quality, secret_scan, simhash, topk, warc
 from examlake.llm.common import table
 
 
@@ -38,6 +38,14 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.Plan(table(spark, sf_dir, "documents")).taken()
 
@@ -46,8 +54,12 @@ def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_token_files, op3_multiset_hash, op4_warc, op5_secrets, op8_mixing, op9_top_k)
+    f.__name__: f for f in (op1_simhash, op2_token_files, op3_multiset_hash, op4_warc, op5_secrets, op6_sentencepiece, op7_quality, op8_mixing, op9_top_k, op10_line_dedup)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -55,7 +67,7 @@ ORACLE_SQL: dict[str, str] = {
         WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
              d AS (SELECT page_id, octet_length(encode(html)) AS n, sha1(html) AS hex, max(page_id) OVER (PARTITION BY html) AS last FROM p),
              b AS (SELECT *, list_reduce(list_transform(range(0, 32), lambda i:
-                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + (('0x' || substr(hex, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31]), lambda x, y: x || y) AS digest FROM d)
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)]), lambda x, y: x || y) AS digest FROM d)
         SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
                CASE WHEN last = page_id THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN last <> page_id THEN last END AS refers_to

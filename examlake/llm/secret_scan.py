@@ -32,12 +32,13 @@ class Rule:
         return ("(?i)" if self.any_case else "") + self.pattern
 
 
+# Where the whole match has a least length, a shorter run cannot hold a longer one, so the length is in the pattern.
 RULES = (
     Rule("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12, True, True),
-    Rule("access", r"AKIA[A-Z0-9]+", 0, 18, False, True),
-    Rule("hex", r"[0-9a-f]+", 0, 16, False, True),
+    Rule("access", r"AKIA[A-Z0-9]{14,}", 0, 18, False, True),
+    Rule("hex", r"[0-9a-f]{16,}", 0, 16, False, True),
     Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
-    Rule("forge_token", r"gh[pousr]_[A-Za-z0-9]+", 0, 40),
+    Rule("forge_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
 )
 
 Forms = list[tuple[str, ...]]  # alternatives; each the literal stretches of a match in order, with gaps between
@@ -88,7 +89,7 @@ def inverted_index(docs: DataFrame, grams: list[str] | None = None, id_col: str
         each = F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - 2, F.lit(1))), lambda i: F.substring(text, i, F.lit(3)))
         grams_of = F.filter(F.array_distinct(each), lambda g: F.length(g) == 3)
     else:
-        grams_of = F.filter(F.array(*map(F.lit, grams)), lambda g: F.contains(text, g))
+        grams_of = let(text, lambda t: F.filter(F.array(*map(F.lit, grams)), lambda g: F.contains(t, g)))
     return docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.explode(grams_of).alias("gram"))
 
 
