@@ -112,7 +112,7 @@ def runs(docs: DataFrame) -> DataFrame:
     firsts = lines_.groupBy("h").agg(F.min(F.struct("id", "pos")).alias("s"), F.count("*").alias("n")).where("n > 1").select("h", F.col("s.id").alias("src"), F.col("s.pos").alias("src_pos"))
     met = lines_.join(firsts, "h").where("not (id = src and pos = src_pos)").select("id", "src", "pos", (F.col("pos") - F.col("src_pos")).alias("shift"))
     order = Window.partitionBy("id", "src", "shift").orderBy("pos")  # no more rows than the document has lines
-    cut = (F.col("pos") - F.lag("pos").over(order) > WINDOW + LINE).cast("int")
+    cut = (F.col("pos") - F.lag("pos").over(order) > LINE).cast("int")
     marked = met.withColumn("part", F.sum(F.coalesce(cut, F.lit(1))).over(order))
     return marked.groupBy("id", "src", "shift", "part").agg(F.min("pos").alias("first"), F.max("pos").alias("last")).selectExpr("id", "src", "first", "last", "first - shift as src_first", "last - shift as src_last")
 
