@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from examlake.llm.common import partitions, scratch
@@ -77,13 +77,13 @@ def records(stream) -> Iterator[tuple[dict[str, str], bytes, bytes]]:
         raise ValueError("the archive ends within a record")
 
 
-def sharded(pages: DataFrame) -> DataFrame:
-    """pages with a shard number, ascending with page_id: borders come from an exact histogram of payload bytes over
+def shard_column(pages: DataFrame) -> Column:
+    """A shard number, ascending with page_id: borders come from an exact histogram of payload bytes over
     id cells, so that they don't depend on partitions or on sampling. A cell's ids always share a shard; a shard that
     is larger for that just rolls more files."""
     lo, hi = pages.agg(F.min("page_id"), F.max("page_id")).first()
     if lo is None:
-        return pages.withColumn("shard", F.lit(0))
+        return F.lit(0)
     width = (hi - lo) // CELLS + 1
     cell = F.floor((F.col("page_id") - F.lit(lo)) / F.lit(width)).cast("int")
     sizes = pages.groupBy(cell.alias("cell")).agg(F.sum(F.octet_length("payload") + 512).alias("n")).toPandas().sort_values("cell")  # CELLS rows at most
@@ -91,7 +91,7 @@ def sharded(pages: DataFrame) -> DataFrame:
     codes = [0] * CELLS
     for c, s in zip(sizes["cell"].tolist(), shard_of, strict=True):
         codes[c] = s
-    return pages.withColumn("shard", F.element_at(F.array(*map(F.lit, codes)), cell + 1))
+    return F.element_at(F.array(*map(F.lit, codes)), cell + 1)
 
 
 def revisits(pages: DataFrame) -> DataFrame:
@@ -119,8 +119,11 @@ def write(pages: DataFrame, folder: str) -> DataFrame:
     flat = pages.where("page_id is not null").select(F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
     flat = flat.withColumn("digest", F.unhex(F.sha1("payload")))
     keys = revisits(flat.select("page_id", "url", "digest")).where("refers_to is not null").select("page_id", "digest", "refers_to", "refers_url").dropDuplicates(["page_id", "digest"])
-    full = sharded(flat).join(keys, ["page_id", "digest"], "left")
-    ordered = full.repartition(partitions(spark), "shard").sortWithinPartitions("shard", "page_id", "digest", "url")
+    # Pages and what revisits refer to are dealt once, together: a reference stands before the rows it is for.
+    notes = keys.select("page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), "digest", "refers_to", "refers_url")
+    bare = flat.select("*", F.lit(None).cast("long").alias("refers_to"), F.lit(None).cast("string").alias("refers_url"))
+    marked = bare.unionByName(notes).withColumn("shard", shard_column(flat))
+    ordered = marked.repartition(partitions(spark), "shard").sortWithinPartitions("shard", "page_id", "digest", F.col("payload").isNotNull(), "url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -129,7 +132,7 @@ def write(pages: DataFrame, folder: str) -> DataFrame:
         tag = f"{task.stageId()}-{task.partitionId()}-{task.attemptNumber()}-{uuid.uuid4().hex}"
         fs, root = opened(folder)
         fs.create_dir(f"{root}/temporary", recursive=True)
-        out, row, sums, part, shard = None, None, None, 0, None
+        out, row, sums, part, shard, note = None, None, None, 0, None, {}
 
         def closed() -> pa.RecordBatch:
             nonlocal out
@@ -140,6 +143,11 @@ def write(pages: DataFrame, folder: str) -> DataFrame:
         for b in batches:
             for i in range(b.num_rows):
                 r = {k: v[0].as_py() for k, v in zip(b.schema.names, b.slice(i, 1).columns, strict=True)}
+                if r["payload"] is None:
+                    note = r
+                    continue
+                if (r["page_id"], r["digest"]) == (note.get("page_id"), note.get("digest")):
+                    r |= {"refers_to": note["refers_to"], "refers_url": note["refers_url"]}
                 if out is not None and (r["shard"] != shard or row["n_bytes"] >= ROLL_BYTES):
                     part = 0 if r["shard"] != shard else part + 1
                     yield closed()
