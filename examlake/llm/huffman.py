@@ -28,7 +28,7 @@ BLOCK_IDS, EVERY = 1 << 18, 128
 PLAIN = r"^[\t-\r -&(-~À-ÖØ-öø-ÿ]*$"
 STOP = r"([a-zß-öø-ÿ])([.,])(\s|$)"
 #: Chunks remembered by one worker; beyond it the memory starts anew.
-REMEMBERED = 1_500_000
+REMEMBERED = 700_000
 
 
 class Encoder:
@@ -266,6 +266,7 @@ def write(tokens: DataFrame, path: str, block_ids: int = BLOCK_IDS, every: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        encoder.cache_clear()  # the worker may have encoded before
         codes, shard, block = canonical(lengths), TaskContext.get().partitionId(), 0
         docs: list[int] = []
         held: list[np.ndarray] = []
@@ -305,9 +306,10 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     starts = blocks.join(F.broadcast(shards), "shard").selectExpr("*", "before + sum(n_ids) over (partition by shard order by block) - n_ids as start")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder.cache_clear()
         table = decode_table(lengths)
         for b in batches:
-            for r in b.to_pylist():
+            for r in (b.slice(i, 1).to_pylist()[0] for i in range(b.num_rows)):
                 ids = decode_block(r["bits"], r["n_ids"], np.frombuffer(r["marks"], "<u4"), table, every)
                 sizes = np.frombuffer(r["doc_sizes"], "<i8")
                 ends = np.cumsum(sizes)
