@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from examlake.llm.common import let, stored
+from examlake.llm.common import let, partitions, stored
 
 SPACE = "▁"
 #: A word is the spaces before it and the characters up to the next space: no piece goes on after a character into a
@@ -71,7 +71,8 @@ def piece_table(spark: SparkSession, v: Vocabulary) -> DataFrame:
 
 
 def lattice(words: DataFrame, table: DataFrame, longest: int) -> DataFrame:
-    """(word, edges): the pieces that occur in each word as array<struct<start, len, piece_id, score>>.
+    """(word, edges): the pieces that occur in each word as array<struct<start, len, piece_id, score, mask, ends>>, and
+    single characters without a piece (piece_id -1). Words have LONGEST characters at most.
 
     Substrings no longer than the longest piece, equi-joined to the piece table, which is small by its vocabulary and
     broadcast; words are already dealt by hash, so grouping needs no further exchange.
@@ -79,8 +80,10 @@ def lattice(words: DataFrame, table: DataFrame, longest: int) -> DataFrame:
     n = F.length("word")
     start = words.select("word", F.explode(F.sequence(F.lit(1), n)).alias("start"))
     both = start.select("word", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("start") + 1))).alias("len"))
-    edges = both.withColumn("piece", F.substring("word", F.col("start"), F.col("len"))).join(F.broadcast(table), "piece")
-    return edges.groupBy("word").agg(F.collect_list(F.struct("start", "len", "piece_id", "score")).alias("edges"))
+    # As bits: mask has all borders from the start to the end of an edge, ends these two alone (a word has up to 48).
+    edges = both.withColumn("piece", F.substring("word", F.col("start"), F.col("len"))).join(F.broadcast(table), "piece", "left").where("piece_id is not null or len = 1")
+    bits = edges.withColumn("ends", F.expr("shiftleft(1L, start) | shiftleft(1L, start + len)")).withColumn("mask", F.expr("shiftleft(1L, start + len + 1) - shiftleft(1L, start)"))
+    return bits.groupBy("word").agg(F.collect_list(F.struct("start", "len", F.coalesce("piece_id", F.lit(-1)).alias("piece_id"), "score", "mask", "ends")).alias("edges"))
 
 
 def viterbi(word: Column, edges: Column) -> Column:
@@ -90,7 +93,7 @@ def viterbi(word: Column, edges: Column) -> Column:
     first = F.array(F.struct(F.lit(0.0).alias("total"), F.lit(0).alias("start"), F.lit(0).alias("len"), F.lit(-1).alias("piece_id"))).cast(best_type)
 
     def step(best: Column, end: Column) -> Column:  # best[k]: the best way to the end of the k-th character
-        into = F.filter(edges, lambda e: e["start"] + e["len"] - 1 == end)
+        into = F.filter(edges, lambda e: (e["start"] + e["len"] - 1 == end) & (e["piece_id"] >= 0))
         known = F.transform(into, lambda e: F.struct((F.get(best, e["start"] - 1)["total"] + e["score"]).alias("total"), e["len"].alias("by"), e["start"].alias("start"), e["len"].alias("len"), e["piece_id"].alias("piece_id")))
         lone = F.array(F.struct((F.get(best, end - 1)["total"] - 1e6).alias("total"), F.lit(0).alias("by"), end.alias("start"), F.lit(1).alias("len"), F.lit(-1).alias("piece_id")))
         top = F.array_max(F.concat(known, lone))
@@ -109,22 +112,22 @@ def viterbi(word: Column, edges: Column) -> Column:
 
 def merged(word: Column, edges: Column) -> Column:
     """array<struct<start, len, piece_id>> of BPE: while two neighbours make a piece, the pair of highest score (the
-    leftmost on ties) becomes one. The fold's state is the starts of the segments, and the end."""
-    n = F.length(word)
+    leftmost on ties) becomes one. The fold's state is the set of borders as the bits of a long: an edge joins two
+    neighbours if its ends and one border between them are set, and is a segment if only its ends are."""
+    longer = F.filter(edges, lambda e: e["len"] > 1)
 
-    def step(cuts: Column, _: Column) -> Column:
-        at = lambda e: F.array_position(cuts, e["start"]).cast("int")
-        fits = lambda e: (at(e) > 0) & (F.get(cuts, at(e) + 1) == e["start"] + e["len"])
-        ranked = F.transform(F.filter(edges, fits), lambda e: F.struct(e["score"].alias("score"), (-e["start"]).alias("left")))
-        return let(F.array_max(ranked), lambda top: F.when(top.isNull(), cuts).otherwise(F.array_remove(cuts, F.get(cuts, F.array_position(cuts, -top["left"]).cast("int")))))
+    def step(cuts: Column, wide: Column) -> Column:
+        fits = lambda e: (F.bit_count(cuts.bitwiseAND(e["mask"])) == 3) & (cuts.bitwiseAND(e["ends"]) == e["ends"])
+        ranked = F.transform(F.filter(wide, fits), lambda e: F.struct(e["score"].alias("score"), (-e["start"]).alias("left"), e["mask"].bitwiseXOR(e["ends"]).alias("inner")))
+        return let(F.array_max(ranked), lambda top: F.when(top.isNull(), cuts).otherwise(cuts.bitwiseAND(F.bitwise_not(top["inner"]))))
 
-    start = F.sequence(F.lit(1), n + 1)
-    done = F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), start, lambda cuts, i: step(cuts, i))
+    start = F.call_function("shiftleft", F.lit(1).cast("long"), F.length(word) + 2) - 2
+    steps = F.sequence(F.lit(1), F.greatest(F.length(word) - 1, F.lit(1)))
+    done = let(longer, lambda wide: F.aggregate(steps, start, lambda cuts, i: step(cuts, wide)))
 
     def named(cuts: Column) -> Column:
-        segments = F.transform(F.sequence(F.lit(0), F.size(cuts) - 2), lambda i: F.struct(F.get(cuts, i).alias("start"), (F.get(cuts, i + 1) - F.get(cuts, i)).alias("len")))
-        piece = lambda s: F.get(F.filter(edges, lambda e: (e["start"] == s["start"]) & (e["len"] == s["len"])), F.lit(0))["piece_id"]
-        return F.transform(segments, lambda s: F.struct(s["start"].alias("start"), s["len"].alias("len"), F.coalesce(piece(s), F.lit(-1)).alias("piece_id")))
+        segments = F.filter(edges, lambda e: cuts.bitwiseAND(e["mask"]) == e["ends"])
+        return F.array_sort(F.transform(segments, lambda e: F.struct(e["start"].alias("start"), e["len"].alias("len"), e["piece_id"].alias("piece_id"))))
 
     return let(done, named)
 
@@ -132,9 +135,7 @@ def merged(word: Column, edges: Column) -> Column:
 def word_ids(words: DataFrame, path: str) -> DataFrame:
     """(word, ids) for distinct words; characters without a piece become their bytes, or the unknown id."""
     v = vocabulary(path)
-    found = words.join(lattice(words, piece_table(words.sparkSession, v), v.longest).withColumnRenamed("word", "w"), F.col("word") == F.col("w"), "left").drop("w")
-    none = F.array().cast("array<struct<start:int,len:int,piece_id:int,score:double>>")
-    folded = found.select("word", F.coalesce("edges", none).alias("edges"))
+    folded = lattice(words, piece_table(words.sparkSession, v), v.longest)
     path_ = (merged if v.bpe else viterbi)(F.col("word"), F.col("edges"))
     bytes_of = F.array(*map(F.lit, v.byte_ids)) if v.byte_ids else None
 
@@ -184,7 +185,9 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     both = stored(tables(flat), "blocks")
     words = both.where("word is not null").select("block", "code", "word")
     short = words.where(F.length("word") <= LONGEST)
-    known = stored(word_ids(short.select("word").distinct(), path), "word-ids")
+    # A fixed number of parts: the rows are few bytes and much work, so merging small parts would idle the cluster.
+    dealt = short.select("word").repartition(4 * partitions(docs.sparkSession), "word").distinct()
+    known = stored(word_ids(dealt, path), "word-ids")
     coded = short.join(known, "word").select("block", "code", "ids").union(words.where(F.length("word") > LONGEST).select("block", "code", F.lit(None).cast("array<int>").alias("ids")))
     tables_ = coded.groupBy("block").agg(F.collect_list(F.struct("code", "ids")).alias("words"))  # a block's own words
     long_ = words.where(F.length("word") > LONGEST).groupBy("block").agg(F.collect_list(F.struct("code", "word")).alias("rest"))
