@@ -12,6 +12,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +22,9 @@ from pyspark.sql import functions as F
 from examlake.llm.common import let, partitions, stored
 
 SPACE = "▁"
-#: A word is the spaces before it and the characters up to the next space: no piece goes on after a character into a
-#: space, so words are encoded apart. Words longer than LONGEST go to the library instead of the lattice.
+#: A word is the spaces before it and the characters up to the next space, cut again between any two characters that
+#: no piece has side by side: no piece reaches over such a border, so these words are encoded apart. Words longer than
+#: LONGEST go to the library instead of the lattice.
 UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 LONGEST = 48
 #: Documents that share a table of words.
@@ -37,6 +39,8 @@ class Vocabulary:
     unknown: int
     raw: tuple[bytes, ...]  # what each id decodes to, spaces as SPACE
     longest: int
+    late: frozenset[str]  # pieces that a merge of lower score can make possible
+    pairs: frozenset[str]  # the neighbours that pieces have
 
 
 @lru_cache(maxsize=2)
@@ -53,7 +57,12 @@ def vocabulary(path: str) -> Vocabulary:
         raise ValueError("pieces reach across words")
     by_byte = {int(p.piece[3:5], 16): i for i, p in enumerate(m.pieces) if p.type == 6}
     raw = tuple(bytes([int(p.piece[3:5], 16)]) if p.type == 6 else p.piece.encode() if p.type == 1 else b"" for p in m.pieces)
-    return Vocabulary(normal, m.trainer_spec.model_type == 2, tuple(by_byte[i] for i in range(256)) if by_byte else (), next((i for i, p in enumerate(m.pieces) if p.type == 2), 0), raw, max(len(p) for p, _, _ in normal))
+    rank = {p: s for p, _, s in normal if len(p) > 1}
+    parts = lambda p: ((p[:i], p[i:]) for i in range(1, len(p)))
+    made = lambda a: len(a) == 1 or a in rank
+    late = frozenset(p for p, s in rank.items() if any(made(a) and made(b) and min(rank.get(a, s), rank.get(b, s)) < s for a, b in parts(p)))
+    pairs = frozenset(p[i : i + 2] for p in rank for i in range(len(p) - 1))
+    return Vocabulary(normal, m.trainer_spec.model_type == 2, tuple(by_byte[i] for i in range(256)) if by_byte else (), next((i for i, p in enumerate(m.pieces) if p.type == 2), 0), raw, max(len(p) for p, _, _ in normal), late, pairs)
 
 
 @lru_cache(maxsize=2)
@@ -64,26 +73,27 @@ def library(path: str):
 
 
 def piece_table(spark: SparkSession, v: Vocabulary) -> DataFrame:
-    """(piece, piece_id, score): as long as the vocabulary."""
+    """(piece, piece_id, score, late): as long as the vocabulary."""
     import pandas as pd
 
-    return spark.createDataFrame(pd.DataFrame(v.pieces, columns=["piece", "piece_id", "score"]), "piece string, piece_id int, score double")
+    rows = [(*p, p[0] in v.late) for p in v.pieces]
+    return spark.createDataFrame(pd.DataFrame(rows, columns=["piece", "piece_id", "score", "late"]), "piece string, piece_id int, score double, late boolean")
 
 
 def lattice(words: DataFrame, table: DataFrame, longest: int) -> DataFrame:
-    """(word, edges): the pieces that occur in each word as array<struct<start, len, piece_id, score, mask, ends>>, and
-    single characters without a piece (piece_id -1). Words have LONGEST characters at most.
+    """(word, edges): the pieces that occur in each word as array<struct<start, len, piece_id, score, mask, ends, late>>,
+    and single characters without a piece (piece_id -1). Words have LONGEST characters at most.
 
     Substrings no longer than the longest piece, equi-joined to the piece table, which is small by its vocabulary and
-    broadcast; words are already dealt by hash, so grouping needs no further exchange.
+    broadcast; words are already dealt by hash, so grouping needs no further exchange, and sorts by the hash first.
     """
     n = F.length("word")
-    start = words.select("word", F.explode(F.sequence(F.lit(1), n)).alias("start"))
-    both = start.select("word", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("start") + 1))).alias("len"))
+    start = words.select("hash", "word", F.explode(F.sequence(F.lit(1), n)).alias("start"))
+    both = start.select("hash", "word", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("start") + 1))).alias("len"))
     # As bits: mask has all borders from the start to the end of an edge, ends these two alone (a word has up to 48).
     edges = both.withColumn("piece", F.substring("word", F.col("start"), F.col("len"))).join(F.broadcast(table), "piece", "left").where("piece_id is not null or len = 1")
     bits = edges.withColumn("ends", F.expr("shiftleft(1L, start) | shiftleft(1L, start + len)")).withColumn("mask", F.expr("shiftleft(1L, start + len + 1) - shiftleft(1L, start)"))
-    return bits.groupBy("word").agg(F.collect_list(F.struct("start", "len", F.coalesce("piece_id", F.lit(-1)).alias("piece_id"), "score", "mask", "ends")).alias("edges"))
+    return bits.groupBy("hash", "word").agg(F.collect_list(F.struct("start", "len", F.coalesce("piece_id", F.lit(-1)).alias("piece_id"), "score", "mask", "ends", "late")).alias("edges"))
 
 
 def viterbi(word: Column, edges: Column) -> Column:
@@ -113,21 +123,38 @@ def viterbi(word: Column, edges: Column) -> Column:
 def merged(word: Column, edges: Column) -> Column:
     """array<struct<start, len, piece_id>> of BPE: while two neighbours make a piece, the pair of highest score (the
     leftmost on ties) becomes one. The fold's state is the set of borders as the bits of a long: an edge joins two
-    neighbours if its ends and one border between them are set, and is a segment if only its ends are."""
+    neighbours if its ends and one border between them are set, and is a segment if only its ends are.
+
+    One fold over the edges in order of score does these merges, unless one of them lets an edge of higher score fit
+    that did not before. Only the vocabulary's late pieces can; a word where that happens is folded merge by merge.
+    """
     longer = F.filter(edges, lambda e: e["len"] > 1)
+    start = F.call_function("shiftleft", F.lit(1).cast("long"), F.length(word) + 2) - 2
+    fits = lambda cuts, e: (cuts.bitwiseAND(e["ends"]) == e["ends"]) & (F.bit_count(cuts.bitwiseAND(e["mask"])) == 3)
+    without = lambda cuts, e: cuts.bitwiseAND(F.bitwise_not(e["mask"].bitwiseXOR(e["ends"])))
 
-    def step(cuts: Column, wide: Column) -> Column:
-        fits = lambda e: (F.bit_count(cuts.bitwiseAND(e["mask"])) == 3) & (cuts.bitwiseAND(e["ends"]) == e["ends"])
-        ranked = F.transform(F.filter(wide, fits), lambda e: F.struct(e["score"].alias("score"), (-e["start"]).alias("left"), e["mask"].bitwiseXOR(e["ends"]).alias("inner")))
-        return let(F.array_max(ranked), lambda top: F.when(top.isNull(), cuts).otherwise(cuts.bitwiseAND(F.bitwise_not(top["inner"]))))
+    def slow(wide: Column) -> Column:
+        def step(cuts: Column) -> Column:
+            ranked = F.transform(F.filter(wide, lambda e: fits(cuts, e)), lambda e: F.struct(e["score"].alias("score"), (-e["start"]).alias("left"), e["mask"].alias("mask"), e["ends"].alias("ends")))
+            return let(F.array_max(ranked), lambda top: F.when(top.isNull(), cuts).otherwise(without(cuts, top)))
 
-    start = F.call_function("shiftleft", F.lit(1).cast("long"), F.length(word) + 2) - 2
-    steps = F.sequence(F.lit(1), F.greatest(F.length(word) - 1, F.lit(1)))
-    done = let(longer, lambda wide: F.aggregate(steps, start, lambda cuts, i: step(cuts, wide)))
+        return F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(word) - 1, F.lit(1))), start, lambda cuts, i: step(cuts))
+
+    def quick(wide: Column) -> Column:  # the borders; null once an edge that was passed over fits
+        ordered = F.sort_array(F.transform(wide, lambda e: F.struct((-e["score"]).alias("order"), e["start"].alias("start"), e["mask"].alias("mask"), e["ends"].alias("ends"))))
+        late = F.filter(wide, lambda e: e["late"])
+
+        def step(cuts: Column, e: Column, late: Column) -> Column:
+            missed = lambda now: F.exists(late, lambda p: (-p["score"] < e["order"]) & fits(now, p))
+            return F.when(~fits(cuts, e), cuts).otherwise(let(without(cuts, e), lambda now: F.when(~missed(now), now)))
+
+        return let(late, lambda known: F.aggregate(ordered, start, lambda cuts, e: step(cuts, e, known)))
+
+    done = let(longer, lambda wide: let(quick(wide), lambda cuts: F.when(cuts.isNotNull(), cuts).otherwise(slow(wide))))
 
     def named(cuts: Column) -> Column:
         segments = F.filter(edges, lambda e: cuts.bitwiseAND(e["mask"]) == e["ends"])
-        return F.array_sort(F.transform(segments, lambda e: F.struct(e["start"].alias("start"), e["len"].alias("len"), e["piece_id"].alias("piece_id"))))
+        return F.sort_array(F.transform(segments, lambda e: F.struct(e["start"].alias("start"), e["len"].alias("len"), e["piece_id"].alias("piece_id"))))
 
     return let(done, named)
 
@@ -149,7 +176,17 @@ def word_ids(words: DataFrame, path: str) -> DataFrame:
     return folded.select("word", path_.alias("segments")).select("word", F.flatten(F.transform("segments", ids)).alias("ids"))
 
 
-def tables(docs: DataFrame) -> DataFrame:
+def cut(unit: str, pairs: frozenset[str]) -> Iterator[str]:
+    """The unit's parts between neighbours that no piece has."""
+    at = 0
+    for i in range(1, len(unit)):
+        if unit[i - 1 : i + 1] not in pairs:
+            yield unit[at:i]
+            at = i
+    yield unit[at:]
+
+
+def tables(docs: DataFrame, path: str) -> DataFrame:
     """Rows of two kinds for each block of documents: one per distinct word (block, code, word), and one with the
     documents (block, docs): their row keys, and their texts as codes of words."""
 
@@ -157,14 +194,16 @@ def tables(docs: DataFrame) -> DataFrame:
         from pyspark import TaskContext
 
         schema = pa.schema([("block", pa.int64()), ("code", pa.int32()), ("word", pa.string()), ("docs", pa.binary())])
-        block = TaskContext.get().partitionId() << 32
+        block, pairs = TaskContext.get().partitionId() << 32, vocabulary(path).pairs
         for b in batches:
             for at in range(0, b.num_rows, BLOCK):
-                part, codes, rows = b.slice(at, BLOCK), {}, []
+                part, codes, known, rows = b.slice(at, BLOCK), {}, {}, []
                 block += 1
                 for t in part.column(1).to_pylist():
                     units = UNIT.findall(SPACE + t.replace(" ", SPACE)) if t else []
-                    rows.append(np.fromiter((codes.setdefault(u, len(codes)) for u in units), np.uint32, len(units)))
+                    for u in filterfalse(known.__contains__, units):
+                        known[u] = [codes.setdefault(w, len(codes)) for w in cut(u, pairs)]
+                    rows.append(np.fromiter(chain.from_iterable(map(known.__getitem__, units)), np.uint32))
                 sizes = np.array([*map(len, rows)], "<u4")
                 keys = np.array(part.column(0).to_pylist(), "<i8")
                 blob = np.array([len(rows)], "<i8").tobytes() + keys.tobytes() + sizes.tobytes() + np.concatenate(rows).astype("<u4").tobytes()
@@ -182,11 +221,11 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     Rows that repeat an id stay apart; ids must not be null; extra columns are ignored.
     """
     flat = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    both = stored(tables(flat), "blocks")
+    both = stored(tables(flat, path), "blocks")
     words = both.where("word is not null").select("block", "code", "word")
     short = words.where(F.length("word") <= LONGEST)
     # A fixed number of parts: the rows are few bytes and much work, so merging small parts would idle the cluster.
-    dealt = short.select("word").repartition(4 * partitions(docs.sparkSession), "word").distinct()
+    dealt = short.select(F.xxhash64("word").alias("hash"), "word").repartition(4 * partitions(docs.sparkSession), "hash").distinct()
     known = stored(word_ids(dealt, path), "word-ids")
     coded = short.join(known, "word").select("block", "code", "ids").union(words.where(F.length("word") > LONGEST).select("block", "code", F.lit(None).cast("array<int>").alias("ids")))
     tables_ = coded.groupBy("block").agg(F.collect_list(F.struct("code", "ids")).alias("words"))  # a block's own words
