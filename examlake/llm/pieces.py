@@ -28,7 +28,7 @@ SPACE = "▁"
 UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 LONGEST = 48
 #: Documents that share a table of words.
-BLOCK = 4096
+BLOCK = 8192
 
 
 @dataclass(frozen=True)
@@ -206,6 +206,7 @@ def tables(docs: DataFrame, path: str) -> DataFrame:
                     rows.append(np.fromiter(chain.from_iterable(map(known.__getitem__, units)), np.uint32))
                 sizes = np.array([*map(len, rows)], "<u4")
                 keys = np.array(part.column(0).to_pylist(), "<i8")
+                known.clear()
                 blob = np.array([len(rows)], "<i8").tobytes() + keys.tobytes() + sizes.tobytes() + np.concatenate(rows).astype("<u4").tobytes()
                 n = len(codes)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(n, block)), pa.array(np.arange(n, dtype=np.int32)), pa.array(list(codes), pa.string()), pa.nulls(n, pa.binary())], schema=schema)
@@ -225,7 +226,7 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     words = both.where("word is not null").select("block", "code", "word")
     short = words.where(F.length("word") <= LONGEST)
     # A fixed number of parts: the rows are few bytes and much work, so merging small parts would idle the cluster.
-    dealt = short.select(F.xxhash64("word").alias("hash"), "word").repartition(4 * partitions(docs.sparkSession), "hash").distinct()
+    dealt = short.select("word").repartition(4 * partitions(docs.sparkSession), "word").distinct().withColumn("hash", F.xxhash64("word"))
     known = stored(word_ids(dealt, path), "word-ids")
     coded = short.join(known, "word").select("block", "code", "ids").union(words.where(F.length("word") > LONGEST).select("block", "code", F.lit(None).cast("array<int>").alias("ids")))
     tables_ = coded.groupBy("block").agg(F.collect_list(F.struct("code", "ids")).alias("words"))  # a block's own words
@@ -238,7 +239,7 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
                 blob = zlib.decompress(b.column(0)[k].as_py())
                 n = int(np.frombuffer(blob, "<i8", 1)[0])
                 keys, sizes = np.frombuffer(blob, "<i8", n, 8), np.frombuffer(blob, "<u4", n, 8 + 8 * n).astype(np.int64)
-                codes = np.frombuffer(blob, "<u4", -1, 8 + 12 * n).astype(np.int64)
+                codes = np.frombuffer(blob, "<u4", -1, 8 + 12 * n)
                 at, size, pool = table(b.column(1)[k], b.column(2)[k])
                 ends = np.cumsum(sizes)
                 for i in range(0, n, 256):
