@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,6 +33,49 @@ def unbalanced(text: Column) -> Column:
     return (occurrences(text, "$") % 2 != 0) | (occurrences(text, "\\(") != occurrences(text, "\\)")) | (occurrences(text, "\\[") != occurrences(text, "\\]"))
 
 
+#: Fields of a record whose strings the quarantine reads.
+LATEX_FIELDS = ("question_text", "explanation", "image_prompt", "final_image_prompt", "image_dependency_reason", "options", "truth_spec")
+LATEX_SIGNAL = r"\\[A-Za-z]+|\\[\[(]|\$\$|(?<!\\)\$(?!\$)"
+
+
+def _record(raw: str | None) -> tuple[str, str | None]:
+    try:
+        record = json.loads(raw or "")
+    except (ValueError, RecursionError):
+        return "broken", None
+    if not isinstance(record, dict):
+        return "other", None
+    named = [record[f] for f in LATEX_FIELDS if f in record]
+    out, rest = [], [named or record]
+    while rest:
+        x = rest.pop()
+        if isinstance(x, str):
+            out.append(x)
+        elif isinstance(x, dict | list):
+            rest += reversed(list(x.values()) if isinstance(x, dict) else x)
+    return "object", "\n".join(out)
+
+
+def record(raw: Column) -> Column:
+    """(kind, text) of JSON: kind object, other or broken, and of an object the strings within its LATEX_FIELDS, at any
+    depth, one a line, or all its strings if it has none of these fields (T25).
+
+    Python over Arrow batches: try_parse_json takes text with a rest behind the value, such as '{}}', for whole.
+    """
+
+    @F.pandas_udf("kind string, text string")
+    def run(values: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([_record(v) for v in values], columns=["kind", "text"])
+
+    return run(raw)
+
+
+def unbalanced_signalled(text: Column) -> Column:
+    """If text shows LaTeX at all: unequal brackets, or an odd count of double dollars (T5)."""
+    odd = (occurrences(text, "$$") % 2 != 0) | (occurrences(text, "\\(") != occurrences(text, "\\)")) | (occurrences(text, "\\[") != occurrences(text, "\\]"))
+    return F.coalesce(text.rlike(LATEX_SIGNAL) & odd, F.lit(False))
+
+
 def has_word(text: Column, words: tuple[str, ...]) -> Column:
     """Whether one of the words stands in text, letters of any script bounding them."""
     return text.rlike(r"(?i)(^|[^\p{L}\p{N}_])(" + "|".join(words) + r")($|[^\p{L}\p{N}_])")

@@ -22,12 +22,11 @@ def prompt_gate(rows: DataFrame, text: str, least: int = 50, most: int = 200, va
 
 
 def quarantine(rows: DataFrame, json: str) -> DataFrame:
-    """reasons to hold a record back: empty, control character, no JSON, no object, unbalanced LaTeX."""
-    t = F.coalesce(json, F.lit(""))
-    parsed = F.try_parse_json(t)
-    empty, broken = F.trim(t) == "", parsed.isNull() & (F.trim(t) != "")
-    found = issues({"empty_question_json": empty, "illegal_control_char": T.control_chars(t), "json_parse_error": broken, "invalid_question_json_type": parsed.isNotNull() & ~F.schema_of_variant(parsed).startswith("OBJECT"), "unbalanced_latex": T.unbalanced(t)})
-    return rows.withColumn("reasons", found)
+    """reasons to hold a record back: empty, control character, no JSON, no object, unbalanced LaTeX by T5."""
+    t, kind = F.coalesce(json, F.lit("")), F.col("_record.kind")
+    empty = F.trim(t) == ""
+    found = issues({"empty_question_json": empty, "illegal_control_char": T.control_chars(t), "json_parse_error": ~empty & (kind == "broken"), "invalid_question_json_type": kind == "other", "unbalanced_latex": T.unbalanced_signalled(F.col("_record.text"))})
+    return rows.withColumn("_record", T.record(t)).withColumn("reasons", found).drop("_record")
 
 
 def routed(status: Column, recoverable: Column) -> Column:

@@ -288,3 +288,31 @@ def key_helpers(spark, d):
 def quarantine_reason(spark, d):
     out = gates.quarantine(load(spark, d, "pages").select("page_id", "html"), "html")
     return out.select("page_id", F.element_at(F.filter("reasons", lambda r: r.isin("empty_question_json", "json_parse_error")), 1).alias("reason"))
+
+
+#: j is a JSON column and id its key; every reason, with the record parsed.
+REASONS = r"""v AS (SELECT *, CASE WHEN json_valid(j) THEN json_type(j) END AS kind, CASE WHEN json_valid(j) THEN coalesce(j->>'$.question_text', '') ELSE '' END AS t FROM r),
+           c AS (SELECT *, regexp_matches(t, '\\[A-Za-z(\[]|\$\$|(^|[^\\])\$') AS signal, (length(t) - length(replace(t, '$$', ''))) // 2 % 2 <> 0 AS odd,
+             length(replace(t, '\(', '')) <> length(replace(t, '\)', '')) OR length(replace(t, '\[', '')) <> length(replace(t, '\]', '')) AS uneven FROM v)
+           SELECT id, array_to_string(list_filter([CASE WHEN trim(j) = '' THEN 'empty_question_json' END, CASE WHEN regexp_matches(j, '[\x00-\x08\x0b\x0c\x0e-\x1f]') THEN 'illegal_control_char' END,
+             CASE WHEN trim(j) <> '' AND NOT json_valid(j) THEN 'json_parse_error' END, CASE WHEN kind <> 'OBJECT' THEN 'invalid_question_json_type' END,
+             CASE WHEN kind = 'OBJECT' AND signal AND (odd OR uneven) THEN 'unbalanced_latex' END], lambda x: x IS NOT NULL), ',') AS reasons FROM c"""
+
+#: Question texts put into events.props, in JSON; the last rows are no record at all.
+TEXTS = [r"costs $5", r"open $$x", r"$$x$$", r"\\( x", r"no sign \\)", r"\\frac x \\)", r"a \\[ x \\]"]
+
+
+@query(f"WITH r AS (SELECT page_id AS id, html AS j FROM pages), {REASONS}")
+def quarantine_pages(spark, d):
+    return gates.quarantine(load(spark, d, "pages").select(F.col("page_id").alias("id"), "html"), "html").select("id", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query("""WITH r AS (SELECT event_id AS id, CASE event_id % 13 """ + " ".join(f"WHEN {i} THEN replace(props, '}}', ', \"question_text\": \"{t}\"}}')" for i, t in enumerate(TEXTS)) + f"""
+             WHEN 7 THEN '' WHEN 8 THEN '[' || props || ']' WHEN 9 THEN props || '}}' WHEN 10 THEN replace(props, 'k', 'k' || chr(1)) WHEN 11 THEN '"' || event_id || '"' ELSE props END AS j FROM events), {REASONS}""")
+def quarantine_records(spark, d):
+    n, props = F.col("event_id") % 13, F.col("props")
+    j = F.when(n == 7, "").when(n == 8, F.concat(F.lit("["), props, F.lit("]"))).when(n == 9, F.concat(props, F.lit("}"))).when(n == 10, F.replace(props, F.lit("k"), F.lit("k\x01"))).when(n == 11, F.concat(F.lit('"'), "event_id", F.lit('"')))
+    for i, t in enumerate(TEXTS):
+        j = j.when(n == i, F.replace(props, F.lit("}"), F.lit(f', "question_text": "{t}"}}')))
+    rows = load(spark, d, "events").select(F.col("event_id").alias("id"), j.otherwise(props).alias("j"))
+    return gates.quarantine(rows, "j").select("id", F.array_join("reasons", ",").alias("reasons"))
