@@ -1,4 +1,5 @@
-"""Text, answer and LaTeX checks as columns."""
+"""Text, answer and LaTeX checks as columns (T1, T2, T4-T7, T9-T12, T15, T16, T19, T23-T25, T29, T30; T6 pads with one blank, T11 is the
+reviewer's list, T19 reads the whole text, T25 the record's strings for T5)."""
 
 from __future__ import annotations
 
@@ -10,7 +11,14 @@ from pyspark.sql import functions as F
 
 # Fixed values of the gates: vague words, rejected style words, opening words.
 VAGUE_WORDS = ("several", "some", "various", "multiple", "many", "etc")
-COMMANDS = ("frac", "sqrt", "binom", "sum", "int", "lim", "alpha", "beta", "theta", "pi")
+COMMANDS = ("\\frac", "\\sqrt", "\\sum", "\\int", "\\alpha", "\\beta", "\\gamma", "\\theta", "\\lambda", "\\binom")
+RAW_COMMANDS = ("frac", "alpha", "beta", "gamma", "sum", "int", "sqrt", "begin", "end")
+TYPOS = ("\\rac", "\\farc", "\\frc")
+CONCLUSIONS = (
+    r"\banswer\s+is\b", r"\boption\s+[abcd]\s+(?:is\s+)?correct\b", r"\bcorrect\s+(?:answer|option)\b", r"\bshortest\s+path\b", r"\blongest\s+path\b", r"\bpath\s+total\b",
+    r"\btotal\s+(?:cost|weight|length)\s+(?:is|=)(?=[\p{L}\p{N}_])|\btotal\s+(?:cost|weight|length)\s+is\b", r"\bminimum\b", r"\bmaximum\b", r"\bmin\b", r"\bmax\b", r"\bbest\b", r"\bworst\b",
+    "最短路径", "最长路径", "正确答案", "正确选项", "答案是", "最大值", "最小值", "最终排序", "最终类别",
+)
 
 
 def mixed_words(text: Column) -> Column:
@@ -35,6 +43,7 @@ def unbalanced(text: Column) -> Column:
 
 #: Fields of a record whose strings the quarantine reads.
 LATEX_FIELDS = ("question_text", "explanation", "image_prompt", "final_image_prompt", "image_dependency_reason", "options", "truth_spec")
+MATH = r"(?s)\$\$.*?\$\$|\$[^$\n]+\$|\\\(.*?\\\)|\\\[.*?\\\]"
 LATEX_SIGNAL = r"\\[A-Za-z]+|\\[\[(]|\$\$|(?<!\\)\$(?!\$)"
 
 
@@ -76,6 +85,43 @@ def unbalanced_signalled(text: Column) -> Column:
     return F.coalesce(text.rlike(LATEX_SIGNAL) & odd, F.lit(False))
 
 
+def without_math(text: Column) -> Column:
+    r"""Text with each math span, of $$, $, \( and \[, as one blank.
+
+    Spans are taken from left to right; the reference takes each kind by itself, so that text between two $$ spans
+    counts as math there, and not here.
+    """
+    return F.regexp_replace(text, MATH, " ")
+
+
+def bare_command(text: Column) -> Column:
+    """The first of COMMANDS that stands outside math, or null."""
+    outside = without_math(text)
+    return F.coalesce(*[F.when(F.contains(outside, F.lit(c)), F.lit(c)) for c in COMMANDS])
+
+
+def environments_differ(text: Column) -> Column:
+    """Whether the names begun and the names ended are not the same in the same order."""
+    begun, ended = (F.regexp_extract_all(text, F.lit(r"\\" + word + r"\{([^{}]+)\}"), F.lit(1)) for word in ("begin", "end"))
+    return begun != ended
+
+
+def typo(text: Column) -> Column:
+    """Whether a broken command stands in text: one of TYPOS, or rac{ after no letter or backslash."""
+    return contains_any(text, TYPOS) | text.rlike(r"(^|[^a-zA-Z\\])rac\{")
+
+
+def raw_marker(text: Column) -> Column:
+    """The first raw LaTeX marker that a drawing prompt shows: $, then RAW_COMMANDS; or null."""
+    marks = ["$", *("\\" + c for c in RAW_COMMANDS)]  # a doubled backslash holds the single one
+    return F.coalesce(*[F.when(F.contains(text, F.lit(m)), F.lit(m)) for m in marks])
+
+
+def concludes(text: Column) -> Column:
+    """Whether a text, normalised, gives a conclusion away."""
+    return normalised(text).rlike("(?U)" + "|".join(CONCLUSIONS))
+
+
 def has_word(text: Column, words: tuple[str, ...]) -> Column:
     """Whether one of the words stands in text, letters of any script bounding them."""
     return text.rlike(r"(?i)(^|[^\p{L}\p{N}_])(" + "|".join(words) + r")($|[^\p{L}\p{N}_])")

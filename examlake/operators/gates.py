@@ -1,4 +1,5 @@
-"""Composite checks that explain themselves: arrays of issues."""
+"""Composite checks that explain themselves: arrays of issues (G1 and G2 in part, G5, the
+routing of G6, P14, P18)."""
 
 from __future__ import annotations
 
@@ -14,13 +15,24 @@ def issues(checks: dict[str, Column]) -> Column:
 
 
 def prompt_gate(rows: DataFrame, text: str, least: int = 50, most: int = 200, vague: tuple[str, ...] = T.VAGUE_WORDS) -> DataFrame:
-    """issues and passed of each text: empty, too short or long, unbalanced, control characters, vague words (G1)."""
+    """issues and passed of each text: empty, too short or long, unbalanced, control characters, vague words (part of G1)."""
     t = F.coalesce(text, F.lit(""))
     words = T.mixed_words(t)
     found = issues({"empty": F.trim(t) == "", "too_short": words < least, "too_long": words > most, "unbalanced_math": T.unbalanced(t), "control_char": T.control_chars(t), "vague_word": T.has_word(t, vague)})
     return rows.withColumn("issues", found).withColumn("passed", F.size("issues") == 0)
 
 
+def latex_gate(rows: DataFrame, fields: list[str], prompt: str) -> DataFrame:
+    """issues of each row: name:check of its text fields, in their order, then of the drawing prompt (G2 without T8).
+
+    Null and empty fields are passed over.
+    """
+    checks = {"control_char": T.control_chars, "unbalanced_math": T.unbalanced, "environments": T.environments_differ, "typo": T.typo, "bare_command": lambda t: T.bare_command(t).isNotNull()}
+    found = {f"{f}:{name}": check(F.col(f)) for f in fields for name, check in checks.items()}
+    found |= {f"{prompt}:control_char": T.control_chars(F.col(prompt)), f"{prompt}:raw_latex": T.raw_marker(F.col(prompt)).isNotNull()}
+    return rows.withColumn("issues", issues(found))
+
+
 def quarantine(rows: DataFrame, json: str) -> DataFrame:
     """reasons to hold a record back: empty, control character, no JSON, no object, unbalanced LaTeX by T5."""
     t, kind = F.coalesce(json, F.lit("")), F.col("_record.kind")

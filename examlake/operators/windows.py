@@ -1,4 +1,4 @@
-"""Milestones, chunks, run lengths, hysteresis, stalls and rotations."""
+"""Milestones, chunks, run lengths, hysteresis, stalls and rotations."""
 
 from __future__ import annotations
 
