@@ -2,7 +2,8 @@
 
 A line is LINE words in a row, hashed at every word: passages repeat in the middle of paragraphs, so line ends are no
 guide. Of each WINDOW line hashes in a row the least is selected, so any run of LINE + WINDOW - 1 = 50 or more words
-that occurs twice shares a selected hash in both places.
+that occurs twice shares a selected hash in both places. A shorter repeated run, of LINE words and more, is cut where
+one of its lines is selected, and stays where none is.
 """
 
 from __future__ import annotations
