@@ -110,6 +110,13 @@ def search(q: np.ndarray, q_ids: np.ndarray, floor: np.ndarray, v: np.ndarray, v
                     yield int(q_ids[i]), int(v_ids[at[j]]), int(scores[j])
 
 
+def admitted(buckets: DataFrame, ready: DataFrame, parts: int) -> DataFrame:
+    """(block, q_block) of one dimension whose products may reach the floor; salted by q_block, as dim may be one value."""
+    asked = ready.select("dim", "q_block", "need", F.pmod("q_block", F.lit(parts)).cast("int").alias("salt"))
+    salted = buckets.select("dim", "block", "longest", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("salt"))
+    return salted.join(asked, ["dim", "salt"]).where(~(F.col("longest") < F.col("need") * (1 - 1e-9))).select("block", "q_block")
+
+
 def top_k(vectors: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """The k best of all other vectors for each vector whose id is divisible by every: (query_id, rank, vec_id, score).
 
@@ -142,8 +149,9 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_
 
     named = asked.select("dim", F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
     seeds = buckets.join(first, ["dim", "block"]).select("dim", "ids", "vectors")
-    ready = stored(named.join(seeds, "dim").mapInPandas(floors, "dim int, q_block long, need double, q_ids binary, q_vectors binary, floors binary"), "floors")
-    pairs = buckets.select("dim", "block", "longest").join(ready.select("dim", "q_block", "need"), "dim").where(~(F.col("longest") < F.col("need") * (1 - 1e-9))).select("block", "q_block")
+    # Broadcast, as dim may be one value: one bucket of BUCKET vectors for each dimension is all there is.
+    ready = stored(named.join(F.broadcast(seeds), "dim").mapInPandas(floors, "dim int, q_block long, need double, q_ids binary, q_vectors binary, floors binary"), "floors")
+    pairs = admitted(buckets, ready, partitions(spark))
     work = pairs.repartition(partitions(spark), "block", "q_block").join(buckets.select("block", "ids", "vectors"), "block").join(ready.select("q_block", "q_ids", "q_vectors", "floors"), "q_block")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
