@@ -8,27 +8,28 @@ log-probabilities, the merges in order of score. Both give the ids of the librar
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain, filterfalse
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from examlake.llm.common import let, partitions, stored
+from examlake.llm.common import let, partitions, scratch
 
 SPACE = "▁"
-#: A word is the spaces before it and the characters up to the next space, cut again between any two characters that
-#: no piece has side by side: no piece reaches over such a border, so these words are encoded apart. Words longer than
-#: LONGEST go to the library instead of the lattice.
-UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-LONGEST = 48
-#: Documents that share a table of words.
-BLOCK = 8192
+#: Words are cut so that no piece reaches over a border. One longer than LONGEST is cut again at every such place; what
+#: is still longer (a run in which pieces overlap everywhere) has more borders than the bits of a long can hold, and
+#: goes to the library.
+LONGEST = 60
+#: Characters of text that share a table of words, and partitions of input whose blocks are folded together.
+BLOCK, SLICE = 1 << 24, 512
 
 
 @dataclass(frozen=True)
@@ -40,7 +41,22 @@ class Vocabulary:
     raw: tuple[bytes, ...]  # what each id decodes to, spaces as SPACE
     longest: int
     late: frozenset[str]  # pieces that a merge of lower score can make possible
-    pairs: frozenset[str]  # the neighbours that pieces have
+    unit: re.Pattern  # a text's words
+
+
+def words_of(pieces: list[str]) -> re.Pattern:
+    """A pattern for words, between which no piece reaches: spaces and the letters or the other characters that follow.
+
+    Characters of no longer piece stand alone. The two classes have no neighbours in any piece: from letters and the
+    rest, characters are moved over until this is so.
+    """
+    pairs = {p[i : i + 2] for p in pieces for i in range(len(p) - 1)} - {SPACE * 2}
+    inside = {c for p in pairs for c in p} - {SPACE}
+    letters = {c for c in inside if c.isalpha()}
+    while moved := {c for p in pairs if not letters.isdisjoint(p) for c in p} - letters - {SPACE}:
+        letters |= moved
+    classes = ["[" + "".join(map(re.escape, sorted(c))) + "]+" for c in (letters, inside - letters) if c]
+    return re.compile(f"{SPACE}*(?:{'|'.join(classes)})|{SPACE}+|[^{SPACE}]" if classes else f"{SPACE}+|[^{SPACE}]")
 
 
 @lru_cache(maxsize=2)
@@ -61,8 +77,7 @@ def vocabulary(path: str) -> Vocabulary:
     parts = lambda p: ((p[:i], p[i:]) for i in range(1, len(p)))
     made = lambda a: len(a) == 1 or a in rank
     late = frozenset(p for p, s in rank.items() if any(made(a) and made(b) and min(rank.get(a, s), rank.get(b, s)) < s for a, b in parts(p)))
-    pairs = frozenset(p[i : i + 2] for p in rank for i in range(len(p) - 1))
-    return Vocabulary(normal, m.trainer_spec.model_type == 2, tuple(by_byte[i] for i in range(256)) if by_byte else (), next((i for i, p in enumerate(m.pieces) if p.type == 2), 0), raw, max(len(p) for p, _, _ in normal), late, pairs)
+    return Vocabulary(normal, m.trainer_spec.model_type == 2, tuple(by_byte[i] for i in range(256)) if by_byte else (), next((i for i, p in enumerate(m.pieces) if p.type == 2), 0), raw, max(len(p) for p, _, _ in normal), late, words_of([*rank]))
 
 
 @lru_cache(maxsize=2)
@@ -81,19 +96,19 @@ def piece_table(spark: SparkSession, v: Vocabulary) -> DataFrame:
 
 
 def lattice(words: DataFrame, table: DataFrame, longest: int) -> DataFrame:
-    """(word, edges): the pieces that occur in each word as array<struct<start, len, piece_id, score, mask, ends, late>>,
+    """(cell, word, edges): the pieces that occur in each word as array<struct<start, len, piece_id, score, mask, ends, late>>,
     and single characters without a piece (piece_id -1). Words have LONGEST characters at most.
 
     Substrings no longer than the longest piece, equi-joined to the piece table, which is small by its vocabulary and
-    broadcast; words are already dealt by hash, so grouping needs no further exchange, and sorts by the hash first.
+    broadcast; words are already dealt by cell, so grouping needs no further exchange, and sorts by the hash first.
     """
     n = F.length("word")
-    start = words.select("hash", "word", F.explode(F.sequence(F.lit(1), n)).alias("start"))
-    both = start.select("hash", "word", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("start") + 1))).alias("len"))
-    # As bits: mask has all borders from the start to the end of an edge, ends these two alone (a word has up to 48).
+    start = words.select("cell", "hash", "word", F.explode(F.sequence(F.lit(1), n)).alias("start"))
+    both = start.select("cell", "hash", "word", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("start") + 1))).alias("len"))
+    # As bits: mask has all borders from the start to the end of an edge, ends these two alone (a word has up to 60 characters).
     edges = both.withColumn("piece", F.substring("word", F.col("start"), F.col("len"))).join(F.broadcast(table), "piece", "left").where("piece_id is not null or len = 1")
     bits = edges.withColumn("ends", F.expr("shiftleft(1L, start) | shiftleft(1L, start + len)")).withColumn("mask", F.expr("shiftleft(1L, start + len + 1) - shiftleft(1L, start)"))
-    return bits.groupBy("hash", "word").agg(F.collect_list(F.struct("start", "len", F.coalesce("piece_id", F.lit(-1)).alias("piece_id"), "score", "mask", "ends", "late")).alias("edges"))
+    return bits.groupBy("cell", "hash", "word").agg(F.collect_list(F.struct("start", "len", F.coalesce("piece_id", F.lit(-1)).alias("piece_id"), "score", "mask", "ends", "late")).alias("edges"))
 
 
 def viterbi(word: Column, edges: Column) -> Column:
@@ -160,7 +175,7 @@ def merged(word: Column, edges: Column) -> Column:
 
 
 def word_ids(words: DataFrame, path: str) -> DataFrame:
-    """(word, ids) for distinct words; characters without a piece become their bytes, or the unknown id."""
+    """(cell, word, ids) for distinct words (cell, hash, word); characters without a piece become their bytes, or the unknown id."""
     v = vocabulary(path)
     folded = lattice(words, piece_table(words.sparkSession, v), v.longest)
     path_ = (merged if v.bpe else viterbi)(F.col("word"), F.col("edges"))
@@ -173,105 +188,180 @@ def word_ids(words: DataFrame, path: str) -> DataFrame:
         lone = F.transform(F.sequence(F.lit(0), (F.length(code) / 2).cast("int") - 1), lambda i: F.get(bytes_of, F.conv(F.substring(code, 2 * i + 1, F.lit(2)), 16, 10).cast("int")))
         return F.when(s["piece_id"] >= 0, F.array(s["piece_id"])).otherwise(lone)
 
-    return folded.select("word", path_.alias("segments")).select("word", F.flatten(F.transform("segments", ids)).alias("ids"))
+    return folded.select("cell", "word", path_.alias("segments")).select("cell", "word", F.flatten(F.transform("segments", ids)).alias("ids"))
 
 
-def cut(unit: str, pairs: frozenset[str]) -> Iterator[str]:
-    """The unit's parts between neighbours that no piece has."""
-    at = 0
-    for i in range(1, len(unit)):
-        if unit[i - 1 : i + 1] not in pairs:
-            yield unit[at:i]
+def parts(word: str, pieces: frozenset[str], longest: int) -> Iterator[str]:
+    """The word's parts between borders that no piece reaches over."""
+    at = reach = 0
+    for i in range(len(word)):
+        if i >= reach and i > at:
+            yield word[at:i]
             at = i
-    yield unit[at:]
+        reach = max([reach, *(i + n for n in range(2, longest + 1) if word[i : i + n] in pieces)])
+    yield word[at:]
 
 
-def tables(docs: DataFrame, path: str) -> DataFrame:
-    """Rows of two kinds for each block of documents: one per distinct word (block, code, word), and one with the
-    documents (block, docs): their row keys, and their texts as codes of words."""
+class Codes(dict):
+    """Numbers words in the order in which they are met."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        return n
 
-        schema = pa.schema([("block", pa.int64()), ("code", pa.int32()), ("word", pa.string()), ("docs", pa.binary())])
-        block, pairs = TaskContext.get().partitionId() << 32, vocabulary(path).pairs
-        for b in batches:
-            for at in range(0, b.num_rows, BLOCK):
-                part, codes, known, rows = b.slice(at, BLOCK), {}, {}, []
-                block += 1
-                for t in part.column(1).to_pylist():
-                    units = UNIT.findall(SPACE + t.replace(" ", SPACE)) if t else []
-                    for u in filterfalse(known.__contains__, units):
-                        known[u] = [codes.setdefault(w, len(codes)) for w in cut(u, pairs)]
-                    rows.append(np.fromiter(chain.from_iterable(map(known.__getitem__, units)), np.uint32))
-                sizes = np.array([*map(len, rows)], "<u4")
-                keys = np.array(part.column(0).to_pylist(), "<i8")
-                known.clear()
-                blob = np.array([len(rows)], "<i8").tobytes() + keys.tobytes() + sizes.tobytes() + np.concatenate(rows).astype("<u4").tobytes()
-                n = len(codes)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, block)), pa.array(np.arange(n, dtype=np.int32)), pa.array(list(codes), pa.string()), pa.nulls(n, pa.binary())], schema=schema)
-                yield pa.RecordBatch.from_arrays([pa.array([block]), pa.nulls(1, pa.int32()), pa.nulls(1, pa.string()), pa.array([zlib.compress(blob, 1)])], schema=schema)
-
-    return docs.mapInArrow(run, "block long, code int, word string, docs binary")
 
+def packed(*arrays: np.ndarray) -> bytes:
+    """Arrays of integers, their bytes sorted by place and compressed."""
+    planes = [a.astype(t := a.dtype.newbyteorder("<")).view(np.uint8).reshape(-1, t.itemsize).T.tobytes() for a in arrays]
+    head = np.array([x for a in arrays for x in (a.dtype.itemsize, len(a))], "<i8").tobytes()
+    return np.int64(len(arrays)).tobytes() + head + zstandard.compress(b"".join(planes), 3)
 
-def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids) per row of docs: array<int>, as the library encodes the whole text. Null and empty texts give none.
 
-    Words are folded once for the corpus, not once a text; what travels besides is each block's own table of words.
-    Rows that repeat an id stay apart; ids must not be null; extra columns are ignored.
+def unpacked(data: bytes) -> list[np.ndarray]:
+    n = int(np.frombuffer(data, "<i8", 1)[0])
+    head, rest, at, out = np.frombuffer(data, "<i8", 2 * n, 8).reshape(-1, 2).tolist(), zstandard.decompress(data[8 + 16 * n :]), 0, []
+    for width, size in head:
+        planes = np.frombuffer(rest, np.uint8, width * size, at).reshape(width, size)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(f"<i{width}"))
+        at += width * size
+    return out
+
+
+def tables(docs: DataFrame, path: str, buckets: int) -> DataFrame:
+    """Rows of two kinds for each block of documents: its distinct words, those of one bucket (by CRC-32) joined by
+    blanks in one row (block, cell, bucket, words), where a cell is a bucket of SLICE partitions; and one row (block,
+    docs) with the documents: row keys, and texts as codes, which count the block's words by bucket.
+
+    Words beyond LONGEST have codes after these; compound lists what each is made of: codes, or ids (as -1 - id).
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        task, v = TaskContext.get().partitionId(), vocabulary(path)
+        whole = frozenset(p for p, _, _ in v.pieces if len(p) > 1)
+        schema = pa.schema([("block", pa.int64()), ("cell", pa.int64()), ("bucket", pa.int32()), ("words", pa.string()), ("docs", pa.binary())])
+        block, codes, texts, keys, size = task << 32, Codes(), [], [], 0
+
+        def ended() -> Iterator[pa.RecordBatch]:
+            long = [w for w in codes if len(w) > LONGEST]
+            made = [[codes[p] if len(p) <= LONGEST else tuple(library(path).encode("\n" + p.replace(SPACE, " "))[2:]) for p in parts(w, whole, v.longest)] for w in long]
+            words = [w for w in codes if len(w) <= LONGEST]
+            bucket = np.array([zlib.crc32(w.encode()) % buckets for w in words], np.int32)
+            order = np.argsort(bucket, kind="stable")
+            rank = np.zeros(len(codes), np.int64)
+            rank[np.fromiter((codes[words[i]] for i in order), np.int64, len(words))] = np.arange(len(words))
+            rank[[codes[w] for w in long]] = len(words) + np.arange(len(long))
+            compound = [[y for x in m for y in ([int(rank[x])] if isinstance(x, int) else [-1 - i for i in x])] for m in made]
+            blob = packed(np.array(keys, np.int64), np.array([*map(len, texts)], np.int32), rank[np.concatenate(texts)].astype(np.int32), np.array([*map(len, compound)], np.int32), np.array([*chain.from_iterable(compound)], np.int32))
+            starts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+            rows = [" ".join([words[i] for i in o]) for o in np.split(order, starts[1:])] if len(words) else []
+            there, n = bucket[order][starts], len(rows)
+            for i in range(0, n, 256):
+                k = len(rows[i : i + 256])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(k, block)), pa.array((task // SLICE) * buckets + there[i : i + k].astype(np.int64)), pa.array(there[i : i + k]), pa.array(rows[i : i + k], pa.string()), pa.nulls(k, pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.string()), pa.array([blob])], schema=schema)
+
+        for b in batches:
+            for key, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                t = text.as_py()
+                if size and size + len(t) > BLOCK:
+                    yield from ended()
+                    block, codes, texts, keys, size = block + 1, Codes(), [], [], 0
+                keys.append(key)
+                units = v.unit.findall(SPACE + t.replace(" ", SPACE)) if t else []
+                texts.append(np.fromiter(map(codes.__getitem__, units), np.uint32, len(units)))
+                size += len(t)
+        if keys:
+            yield from ended()
+
+    return docs.mapInArrow(run, "block long, cell long, bucket int, words string, docs binary")
+
+
+def by_block(df: DataFrame, n: int) -> DataFrame:
+    """df written to the shared folder in n buckets by block, so that a join by block need not shuffle it again."""
+    name = f"blocks_{uuid.uuid4().hex}"
+    df.write.bucketBy(n, "block").option("compression", "zstd").option("path", scratch(df.sparkSession, "blocks")).format("parquet").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def assembled(docs: DataFrame, path: str, emit: Callable, schema: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """emit(keys, offsets, ids) of some documents each time, as record batches.
+
+    Words are folded once for each slice of the corpus, and what travels are words, not texts: blocks send their words,
+    a bucket of words in a row, to cells; there distinct words are folded; and ids go back, by block, to the documents,
+    which stay where they were written.
     """
-    flat = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    both = stored(tables(flat, path), "blocks")
-    words = both.where("word is not null").select("block", "code", "word")
-    short = words.where(F.length("word") <= LONGEST)
-    # A fixed number of parts: the rows are few bytes and much work, so merging small parts would idle the cluster.
-    dealt = short.select("word").repartition(4 * partitions(docs.sparkSession), "word").distinct().withColumn("hash", F.xxhash64("word"))
-    known = stored(word_ids(dealt, path), "word-ids")
-    coded = short.join(known, "word").select("block", "code", "ids").union(words.where(F.length("word") > LONGEST).select("block", "code", F.lit(None).cast("array<int>").alias("ids")))
-    tables_ = coded.groupBy("block").agg(F.collect_list(F.struct("code", "ids")).alias("words"))  # a block's own words
-    long_ = words.where(F.length("word") > LONGEST).groupBy("block").agg(F.collect_list(F.struct("code", "word")).alias("rest"))
-    whole = both.where("docs is not null").select("block", "docs").join(tables_, "block", "left").join(long_, "block", "left").select("docs", "words", "rest")
+    spark = docs.sparkSession
+    tasks = 4 * partitions(spark)
+    flat = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    both = by_block(tables(flat, path, 4 * tasks), tasks)
+    # At most SLICE partitions' blocks, each with the words of one bucket. Both uses of cells share one exchange.
+    cells = both.where("docs is null").select("cell", "block", "bucket", "words").repartition(tasks, "cell").groupBy("cell").agg(F.collect_list(F.struct("block", "bucket", "words")).alias("blocks"))
+    each = cells.select("cell", F.explode("blocks.words").alias("words")).select("cell", F.explode(F.split("words", " ")).alias("word"))
+    distinct = each.select("cell", F.xxhash64("word").alias("hash"), "word").distinct()
+    known = word_ids(distinct, path).groupBy("cell").agg(F.collect_list(F.struct("word", "ids")).alias("known"))
+    wide = np.uint16 if len(vocabulary(path).raw) <= 1 << 16 else np.uint32
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for blocks, entries in zip(b.column(0), b.column(1), strict=True):
+                words, lists = entries.values.field("word").to_pylist(), entries.values.field("ids")
+                sizes, pool = lists.value_lengths().to_numpy(), lists.flatten().to_numpy().astype(wide)
+                at, code = np.cumsum(sizes) - sizes, dict(zip(words, range(len(words)), strict=True))
+                table, out = blocks.values, []
+                for w in table.field("words").to_pylist():
+                    found = np.fromiter(map(code.__getitem__, w.split(" ")), np.int64)
+                    out.append(packed(sizes[found].astype(np.uint8), pool[gathered(at[found], sizes[found])]))
+                yield pa.RecordBatch.from_arrays([table.field("block"), table.field("bucket"), pa.array(out, pa.binary())], names=["block", "bucket", "ids"])
+
+    back = cells.join(known, "cell").select("blocks", "known").mapInArrow(named, "block long, bucket int, ids binary")
+    # A block has a row for each bucket of its words, so as much as it has words.
+    words = back.repartition(tasks, "block").groupBy("block").agg(F.collect_list(F.struct("bucket", "ids")).alias("words"))
+    whole = both.where("docs is not null").select("block", "docs").join(words, "block", "left").select("docs", "words")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(b.num_rows):
-                blob = zlib.decompress(b.column(0)[k].as_py())
-                n = int(np.frombuffer(blob, "<i8", 1)[0])
-                keys, sizes = np.frombuffer(blob, "<i8", n, 8), np.frombuffer(blob, "<u4", n, 8 + 8 * n).astype(np.int64)
-                codes = np.frombuffer(blob, "<u4", -1, 8 + 12 * n)
-                at, size, pool = table(b.column(1)[k], b.column(2)[k])
-                ends = np.cumsum(sizes)
-                for i in range(0, n, 256):
-                    flat_codes = codes[ends[i] - sizes[i] : ends[min(i + 256, n) - 1]]
-                    per = size[flat_codes]
-                    stop = np.cumsum(per)
-                    ids = pool[np.arange(stop[-1] if len(stop) else 0) + np.repeat(at[flat_codes] - (stop - per), per)]
-                    cuts = np.concatenate([[0], stop])[np.concatenate([[0], np.cumsum(sizes[i : i + 256])])]
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + 256]), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids, pa.int32()))], names=["id", "ids"])
-
-    def table(words_: pa.Scalar, rest: pa.Scalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Where in the pool the ids of each code begin, and how many they are."""
-        if not words_.is_valid:
-            return (np.zeros(0, np.int64),) * 3
-        entries = words_.values
-        code, lists = entries.field("code").to_numpy(), entries.field("ids")
-        sizes = np.nan_to_num(np.asarray(lists.value_lengths().fill_null(0)))
-        pool = lists.drop_null().flatten().to_numpy()
-        at, size = np.zeros(len(code), np.int64), np.zeros(len(code), np.int64)
-        at[code], size[code] = np.cumsum(sizes) - sizes, sizes
-        if rest.is_valid:
-            sp, more = library(path), [pool]
-            used = len(pool)
-            for r in rest.as_py():  # the dummy prefix is put before a text: it is a word of its own here, and goes
-                ids = sp.encode("\n" + r["word"].replace(SPACE, " "))[2:]
-                at[r["code"]], size[r["code"]] = used, len(ids)
-                used += len(ids)
-                more.append(np.array(ids, np.int64))
-            pool = np.concatenate(more)
-        return at, size, pool
-
-    return whole.mapInArrow(run, "id long, ids array<int>")
+                keys, sizes, codes, lengths, compound = unpacked(b.column(0)[k].as_py())
+                at, size, pool = dictionary(b.column(1)[k], lengths, compound, wide)
+                ends = np.cumsum(sizes, dtype=np.int64)
+                for i in range(0, len(keys), 256):
+                    some = codes[ends[i] - sizes[i] : ends[min(i + 256, len(keys)) - 1]]
+                    stop = np.concatenate([[0], np.cumsum(size[some])])
+                    cuts = stop[np.concatenate([[0], np.cumsum(sizes[i : i + 256])])]
+                    yield emit(keys[i : i + 256], cuts, pool[gathered(at[some], size[some])])
+
+    return whole.mapInArrow(run, schema)
+
+
+def gathered(at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The indexes at .. at + size of each entry, one after another."""
+    stop = np.cumsum(size, dtype=np.int64)
+    return np.arange(stop[-1] if len(stop) else 0) + np.repeat(at - (stop - size), size)
+
+
+def dictionary(words: pa.Scalar, lengths: np.ndarray, compound: np.ndarray, wide: type) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where in a pool the ids of each code begin, how many they are, and the pool."""
+    rows = sorted(zip(words.values.field("bucket").to_pylist(), words.values.field("ids").to_pylist(), strict=True)) if words.is_valid else []
+    both = [unpacked(x) for _, x in rows]
+    size = np.concatenate([np.zeros(0, np.int64), *(s.view(np.uint8).astype(np.int64) for s, _ in both)])
+    pool = np.concatenate([np.zeros(0, np.int32), *(p.view(np.dtype(wide)).astype(np.int32) for _, p in both)])
+    at = np.cumsum(size) - size
+    for part in np.split(compound, np.cumsum(lengths))[:-1]:
+        ids = np.concatenate([pool[at[x] : at[x] + size[x]] if x >= 0 else [-1 - x] for x in part.tolist()]).astype(np.int32)
+        at, size, pool = np.append(at, len(pool)), np.append(size, len(ids)), np.concatenate([pool, ids])
+    return at, size, pool
+
+
+def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, ids) per row of docs: array<int>, as the library encodes the whole text.
+
+    Null and empty texts give no ids; rows that repeat an id stay apart; rows without an id are left out; extra columns
+    are ignored, whatever their names; an empty table gives an empty one.
+    """
+    emit = lambda keys, cuts, ids: pa.RecordBatch.from_arrays([pa.array(keys), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids, pa.int32()))], names=["id", "ids"])
+    return assembled(docs, path, emit, "id long, ids array<int>", id_col, text_col)
 
 
 def decoded(ids: DataFrame, path: str) -> DataFrame:
@@ -288,14 +378,13 @@ def decoded(ids: DataFrame, path: str) -> DataFrame:
 
 def digest(docs: DataFrame, path: str) -> DataFrame:
     """Per document from its ids: how many, their CRC-32 as little-endian 32-bit integers, and the decoded text's
-    length in code points and CRC-32."""
-    found = encoded(docs, path)
+    length in code points and CRC-32. Rows as encoded() has them."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw = vocabulary(path).raw
-        for b in batches:
-            lists = [x.values.to_numpy() for x in b.column(1)]
-            texts = [b"".join(map(raw.__getitem__, x.tolist())).decode("utf-8", "replace").replace(SPACE, " ")[1:] for x in lists]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([*map(len, lists)], pa.int64()), pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in lists], pa.int64()), pa.array([*map(len, texts)], pa.int64()), pa.array([zlib.crc32(t.encode("utf-8", "surrogatepass")) for t in texts], pa.int64())], names=["doc_id", "n_pieces", "ids_crc32", "n_chars", "text_crc32"])
+    def emit(keys: np.ndarray, cuts: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+        raw, all_, at = vocabulary(path).raw, ids.tolist(), cuts.tolist()
+        texts = [b"".join(map(raw.__getitem__, all_[a:z])).decode("utf-8", "replace").replace(SPACE, " ")[1:] for a, z in pairwise(at)]
+        data = ids.astype("<u4")
+        sums = [zlib.crc32(data[a:z].tobytes()) for a, z in pairwise(at)]
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.diff(cuts)), pa.array(sums, pa.int64()), pa.array([*map(len, texts)], pa.int64()), pa.array([zlib.crc32(t.encode()) for t in texts], pa.int64())], names=["doc_id", "n_pieces", "ids_crc32", "n_chars", "text_crc32"])
 
-    return found.mapInArrow(run, "doc_id long, n_pieces long, ids_crc32 long, n_chars long, text_crc32 long")
+    return assembled(docs, path, emit, "doc_id long, n_pieces long, ids_crc32 long, n_chars long, text_crc32 long")

@@ -137,7 +137,7 @@ def test_pieces(spark, docs, empty):
 def test_viterbi(spark):
     table = {"▁": -3.0, "a": -4.0, "b": -4.5, "ab": -5.0, "▁a": -5.5, "ba": -6.0, "aba": -9.0}
     df = spark.createDataFrame([(p, i, s) for i, (p, s) in enumerate(table.items())], "piece string, piece_id int, score double").withColumn("late", F.lit(False))
-    words = spark.createDataFrame([("▁abab",), ("▁a",), ("aba",), ("xb",)], "word string").withColumn("hash", F.xxhash64("word")).repartition(2, "hash")
+    words = spark.createDataFrame([("▁abab",), ("▁a",), ("aba",), ("xb",)], "word string").select(F.lit(0).alias("cell"), F.xxhash64("word").alias("hash"), "word").repartition(2, "cell")
     def best(w):
         ways = [(0.0, [])] if not w else []
         for n in range(1, min(3, len(w)) + 1):
