@@ -1,25 +1,30 @@
 """Line dedup: winnowing over line hashes, extended matches, later repeated runs deleted.
 
-A line is LINE words in a row, hashed at every word: passages repeat in the middle of paragraphs, so line ends are no
-guide. Of each WINDOW line hashes in a row the least is selected, so any run of LINE + WINDOW - 1 = 50 or more words
-that occurs twice shares a selected hash in both places. A shorter repeated run, of LINE words and more, is cut where
-one of its lines is selected, and stays where none is.
+Lines are hashed in two tiers. A written line (up to a line end) of SHORT words or more is a unit of its own, and each
+is selected. Passages also repeat in the middle of paragraphs, where line ends are no guide, so a run of LINE words
+from every word on is a unit too: of each WINDOW of these in a row the least hash is selected, so any run of
+LINE + WINDOW - 1 = 50 or more words that occurs twice shares a selected hash in both places. A shorter repeated run
+that is no written line is cut where one of its units is selected, and stays where none is.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from examlake.llm.common import stored
 from examlake.llm.mixing import mixed
 
 LINE, WINDOW = 30, 21
+#: Least words of a written line that is dealt with; from LINE + WINDOW - 1 words on, the other tier finds it.
+SHORT = 8
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 BLANK = np.zeros(256, bool)
@@ -61,12 +66,29 @@ def words(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def lines(h: np.ndarray, length: int = LINE) -> np.ndarray:
     """Hash of the length words from each word on; empty for shorter texts."""
-    n = len(h) - length + 1
-    if n < 1:
-        return np.zeros(0, np.uint64)
+    at = np.arange(max(0, len(h) - length + 1))
+    return units(h, at, at + length)
+
+
+def units(h: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the words from each first to before its end."""
     p = POWERS.upto(len(h) + 1)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * p.up[: len(h)])])
-    return mixed((sums[length:] - sums[:-length]) * p.down[:n])
+    return mixed((sums[end] - sums[first]) * p.down[first])
+
+
+def checked(h: np.ndarray, first: int, end: int) -> int:
+    """A second hash of a range of words, independent of the one by which it was found."""
+    return int.from_bytes(hashlib.blake2b(h[first:end].tobytes(), digest_size=8).digest(), "little", signed=True)
+
+
+def written(data: bytes, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word ranges of the written lines of SHORT words or more that the other tier does not find for sure."""
+    ends = np.flatnonzero(np.frombuffer(data, np.uint8) == 10)
+    cuts = np.unique(np.concatenate([[0], np.searchsorted(starts, ends), [len(starts)]]))
+    n = np.diff(cuts)
+    ok = (n >= SHORT) & (n < LINE + WINDOW - 1)
+    return cuts[:-1][ok], cuts[1:][ok]
 
 
 def winnowed(h: np.ndarray, window: int = WINDOW) -> np.ndarray:
@@ -89,65 +111,75 @@ def winnowed(h: np.ndarray, window: int = WINDOW) -> np.ndarray:
 
 
 def selected(docs: DataFrame) -> DataFrame:
-    """(h, id, pos) of the selected lines; docs: (id, text)."""
+    """(h, id, pos, n) of the selected units, n words from pos on; docs: (id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for k in range(0, b.num_rows, 512):
-                ids, hs, ps = [], [], []
-                for i, t in zip(b.column(0).slice(k, 512).to_pylist(), b.column(1).slice(k, 512), strict=True):
-                    h = lines(words(t.as_buffer().to_pybytes() if t.is_valid else b"")[2])
-                    p = winnowed(h)
-                    ids.append(np.full(len(p), i, np.int64))
-                    hs.append(h[p])
-                    ps.append(p)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.concatenate(ids)), pa.array(np.concatenate(ps).astype(np.int32))], names=["h", "id", "pos"])
-
-    return docs.mapInArrow(run, "h long, id long, pos int")
+            for k in range(0, b.num_rows, 256):
+                ids, hs, ps, ns = [], [], [], []
+                for i, t in zip(b.column(0).slice(k, 256).to_pylist(), b.column(1).slice(k, 256), strict=True):
+                    data = t.as_buffer().to_pybytes() if t.is_valid else b""
+                    starts, _, h = words(data)
+                    each = lines(h)
+                    p = winnowed(each)
+                    first, end = written(data, starts)
+                    ids.append(np.full(len(p) + len(first), i, np.int64))
+                    hs += [each[p], units(h, first, end)]
+                    ps += [p, first]
+                    ns += [np.full(len(p), LINE), end - first]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.concatenate(ids)), pa.array(np.concatenate(ps).astype(np.int32)), pa.array(np.concatenate(ns).astype(np.int16))], names=["h", "id", "pos", "n"])
+
+    return docs.mapInArrow(run, "h long, id long, pos int, n short")
 
 
 def runs(docs: DataFrame) -> DataFrame:
-    """(id, src, first, last, src_first, src_last): selected lines first..last of a document repeat those of an
-    earlier place, the first in which these lines occur. Selected matches of one offset side by side are one run."""
+    """(id, src, runs: array<struct<first, end, src_first, src_end>>): words first.. of a document repeat those of an
+    earlier place, the first in which their units occur. Matches of one offset that touch are one run."""
     lines_ = stored(selected(docs), "lines")
-    firsts = lines_.groupBy("h").agg(F.min(F.struct("id", "pos")).alias("s"), F.count("*").alias("n")).where("n > 1").select("h", F.col("s.id").alias("src"), F.col("s.pos").alias("src_pos"))
-    met = lines_.join(firsts, "h").where("not (id = src and pos = src_pos)").select("id", "src", "pos", (F.col("pos") - F.col("src_pos")).alias("shift"))
-    order = Window.partitionBy("id", "src", "shift").orderBy("pos")  # no more rows than the document has lines
-    cut = (F.col("pos") - F.lag("pos").over(order) > LINE).cast("int")
-    marked = met.withColumn("part", F.sum(F.coalesce(cut, F.lit(1))).over(order))
-    return marked.groupBy("id", "src", "shift", "part").agg(F.min("pos").alias("first"), F.max("pos").alias("last")).selectExpr("id", "src", "first", "last", "first - shift as src_first", "last - shift as src_last")
+    firsts = stored(lines_.groupBy("h").agg(F.min(F.struct("id", "pos")).alias("s"), F.count("*").alias("m")).where("m > 1").select("h", F.col("s.id").alias("src"), F.col("s.pos").alias("src_pos")), "firsts")
+    # Both sides are plain tables, so that Spark splits the partition of a frequent line's hash.
+    met = lines_.join(firsts, "h").where("not (id = src and pos = src_pos)").select("id", "src", "pos", (F.col("pos") + F.col("n")).alias("end"), (F.col("pos") - F.col("src_pos")).alias("shift"))
+    order = Window.partitionBy("id", "src", "shift").orderBy("pos", "end")  # no more rows than the document has lines
+    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    marked = met.withColumn("part", F.sum((F.coalesce(before, F.lit(-1)) < F.col("pos")).cast("int")).over(order))
+    each = marked.groupBy("id", "src", "shift", "part").agg(F.min("pos").alias("first"), F.max("end").alias("end"))
+    run = F.struct("first", "end", (F.col("first") - F.col("shift")).alias("src_first"), (F.col("end") - F.col("shift")).alias("src_end"))
+    return each.groupBy("id", "src").agg(F.collect_list(run).alias("runs"))  # no more than the document has lines
+
+
+AROUND = "first int, end int, before binary, after binary, check long"
 
 
 def contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(src, at, before, after): hashes of the WINDOW words before each wanted place, and after its line."""
-    asked = wanted.distinct().groupBy("src").agg(F.collect_list("at").alias("places"))  # at most one per word of src
+    """(src, around: array<AROUND>): of each wanted range the hashes of the WINDOW words on either side, and a second
+    hash of its own words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32()), ("before", pa.binary()), ("after", pa.binary()), ("check", pa.int64())]))
         for b in batches:
             for i in range(b.num_rows):
                 h = words((b.column(1)[i].as_py() or "").encode("utf-8", "surrogatepass"))[2]
-                at = b.column(2)[i].as_py()
-                before = [h[max(0, p - WINDOW) : p].tobytes() for p in at]
-                after = [h[p + LINE : p + LINE + WINDOW].tobytes() for p in at]
-                yield pa.RecordBatch.from_arrays([pa.array([b.column(0)[i].as_py()] * len(at), pa.int64()), pa.array(at, pa.int32()), pa.array(before, pa.binary()), pa.array(after, pa.binary())], names=["src", "at", "before", "after"])
+                out = [{**r, "before": h[max(0, r["first"] - WINDOW) : r["first"]].tobytes(), "after": h[r["end"] : r["end"] + WINDOW].tobytes(), "check": checked(h, r["first"], r["end"])} for r in b.column(2)[i].as_py()]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, 1), pa.array([out], kind)], names=["src", "around"])
 
-    found = docs.join(asked, docs["id"] == asked["src"]).select("id", "text", "places")
-    return found.mapInArrow(run, "src long, at int, before binary, after binary")
+    asked = wanted.distinct().groupBy("src").agg(F.collect_list(F.struct("first", "end")).alias("places"))  # at most one for each selected unit of src
+    found = docs.join(asked, docs["id"] == asked["src"]).select("src", "text", "places")
+    return found.mapInArrow(run, f"src long, around array<struct<{AROUND.replace(' ', ':').replace(',:', ',')}>>")
 
 
 def extended(h: np.ndarray, runs_: list[dict]) -> list[tuple[int, int]]:
-    """Word ranges of runs, each extended both ways while the words equal those around its source; joined."""
+    """Word ranges of the runs whose words equal their source's, each extended both ways while the words equal those
+    around its source; joined."""
     out: list[list[int]] = []
     for r in runs_:
-        a, z = r["first"], r["last"] + LINE
-        before, after = np.frombuffer(r["before"], np.uint64), np.frombuffer(r["after"], np.uint64)
-        n = min(len(before), a)
-        same = (before[::-1][:n] == h[:a][::-1][:n]) if n else np.zeros(0, bool)
-        a -= n if same.all() else int(same.argmin())
-        n = min(len(after), len(h) - z)
-        same = after[:n] == h[z : z + n]
-        z += n if same.all() else int(same.argmin())
-        out.append([a, z])
+        a, z = r["first"], r["end"]
+        for c in r["around"]:
+            if z > len(h) or checked(h, a, z) != c["check"]:
+                continue
+            before, after = np.frombuffer(c["before"], np.uint64), np.frombuffer(c["after"], np.uint64)
+            n, m = min(len(before), a), min(len(after), len(h) - z)
+            left, right = before[::-1][:n] == h[:a][::-1][:n], after[:m] == h[z : z + m]
+            out.append([a - (n if left.all() else int(left.argmin())), z + (m if right.all() else int(right.argmin()))])
     out.sort()
     merged: list[list[int]] = []
     for a, z in out:
@@ -158,34 +190,38 @@ def extended(h: np.ndarray, runs_: list[dict]) -> list[tuple[int, int]]:
     return [tuple(x) for x in merged]
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with repeated runs cut from text_col, and removed: array of the word ranges [start, end) that went.
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", removed: str = "removed") -> DataFrame:
+    """docs with repeated runs cut from text_col, and a last column, named removed, of the word ranges [start, end)
+    that went; it takes the place of a column of that name.
 
     The first place, by id and then position, stays; every later one goes with the blanks that follow it. All rows
-    and columns stay, also of documents that end up empty. Null texts stay null, texts under LINE words as they are.
-    Rows that repeat an id are told apart by nothing and lose the same runs; rows without an id stay as they are.
+    and columns stay, also of documents that end up empty. Null texts stay null. Rows that repeat an id are one
+    document with several texts: a run of any is cut from each where its words stand at that place; rows without an id
+    stay as they are. An empty table gives an empty one.
     """
-    flat = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    docs = docs.drop(removed)
+    key, found_ = f"id_{uuid.uuid4().hex}", f"runs_{uuid.uuid4().hex}"
+    at, names = docs.columns.index(text_col), docs.columns
+    flat = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
     found = stored(runs(flat), "runs")
-    around = stored(contexts(flat, found.select("src", F.col("src_first").alias("at")).union(found.select("src", "src_last"))), "contexts")
-    left = around.selectExpr("src", "at as src_first", "before")
-    right = around.selectExpr("src", "at as src_last", "after")
-    whole = found.join(left, ["src", "src_first"]).join(right, ["src", "src_last"])
-    per_doc = whole.groupBy("id").agg(F.collect_list(F.struct("first", "last", "before", "after")).alias("runs_"))  # no more than its lines
-    joined = docs.join(per_doc, docs[id_col].cast("long") == per_doc["id"], "left").select(*[docs[c] for c in docs.columns], "runs_")
-    names, at = docs.columns, docs.columns.index(text_col)
+    places = found.select("src", F.explode("runs").alias("r")).select("src", F.col("r.src_first").alias("first"), F.col("r.src_end").alias("end"))
+    around = stored(contexts(flat, places), "contexts")
+    of = lambda r: F.filter("around", lambda c: (c["first"] == r["src_first"]) & (c["end"] == r["src_end"]))
+    known = F.transform("runs", lambda r: F.struct(r["first"].alias("first"), r["end"].alias("end"), of(r).alias("around")))
+    per_doc = found.join(around, "src").select("id", known.alias("runs")).groupBy(F.col("id").alias(key)).agg(F.flatten(F.collect_list("runs")).alias(found_))  # no more than its lines
+    joined = docs.withColumn(key, F.col(id_col).cast("long")).join(per_doc, key, "left").drop(key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         for b in batches:
             texts, gone = b.column(at).to_pylist(), []
-            for i, found_ in enumerate(b.column(len(names)).to_pylist()):
-                if not found_ or texts[i] is None:
+            for i, runs_ in enumerate(b.column(len(names)).to_pylist()):
+                if not runs_ or texts[i] is None:
                     gone.append([])
                     continue
                 data = texts[i].encode("utf-8", "surrogatepass")
                 starts, _, h = words(data)
-                ranges = [(a, min(z, len(h))) for a, z in extended(h, found_) if a < len(h)]
+                ranges = extended(h, runs_)
                 kept, last = [], 0
                 for a, z in ranges:
                     kept.append(data[last : starts[a]])
@@ -195,13 +231,15 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 gone.append([{"start": a, "end": z} for a, z in ranges])
             columns = list(b.columns[:-1])
             columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(gone, span)], names=[*names, "removed"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(gone, span)], names=[*names, removed])
 
-    schema = docs.withColumn("removed", F.expr("cast(array() as array<struct<start:int,end:int>>)")).schema
+    schema = T.StructType([*docs.schema.fields, T.StructField(removed, T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])))])
     return joined.mapInArrow(run, schema)
 
 
 def digest(docs: DataFrame) -> DataFrame:
+    """Per row: how many words went, which ranges of words, and SHA-256 of what is left; rows as deduplicated() has
+    them, a null text counting as empty."""
     out = deduplicated(docs.select("doc_id", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,8 +254,11 @@ def digest(docs: DataFrame) -> DataFrame:
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
-    """docs without later repeated runs, with docs' columns (n_chars made anew); documents that lose every word go."""
-    out = deduplicated(docs).where((F.size("removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    """docs without later repeated runs, with docs' columns (n_chars made anew); documents that lose every word go.
+
+    Other columns may have any name; nulls and repeated ids as in deduplicated()."""
+    gone = f"removed_{uuid.uuid4().hex}"
+    out = deduplicated(docs, removed=gone).where((F.size(gone) == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return out.select(docs.columns)
+        out = out.withColumn("n_chars", F.when(F.size(gone) > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return out.drop(gone)
