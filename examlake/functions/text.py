@@ -1,17 +1,30 @@
-"""Text, answer and LaTeX checks as columns (T1, T2, T4-T7, T9-T12, T15, T16, T19, T23-T25, T29, T30; T6 pads with one blank, T11 is the
-reviewer's list, T19 reads the whole text, T25 the record's strings for T5)."""
+"""Text, answer and LaTeX checks as columns (T1-T7, T9-T13, T15, T16, T19, T23-T30, T32-T34); what no regular
+expression can express is in examlake.functions.parse."""
 
 from __future__ import annotations
 
 import json
+import re
+from functools import reduce
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values of the gates: vague words, rejected style words, opening words.
-VAGUE_WORDS = ("several", "some", "various", "multiple", "many", "etc")
+VAGUE_WORDS = ("several", "some", "a few", "many", "various", "multiple")
 COMMANDS = ("\\frac", "\\sqrt", "\\sum", "\\int", "\\alpha", "\\beta", "\\gamma", "\\theta", "\\lambda", "\\binom")
+SUFFIX_WORDS = ("textbook illustration", "no shading", "no 3D perspective", "no drop shadows", "no gradients")
+OPENINGS = (
+    "A\\s", "An\\s", "Diagram", "Chart", "Graph", "Engineering", "Technical", "Scientific", "Physics", "Chemical", "Biological", "Mechanical", "Electrical", "Circuit", "Structure",
+    "Cross-section", "Flowchart", "Table", "Plot", "Map", "Schematic", "Venn", "Bar", "Scatter", "Line", "Histogram", "Tree", "Network",
+)
+STYLE_SUFFIX = "Clean academic textbook illustration style, white background, thin black outlines, no shading, no 3D perspective, no drop shadows, no gradients, high contrast, clearly legible labels."
+DOUBLED_COMMANDS = ("$", "\\\\frac", "\\\\alpha", "\\\\beta", "\\\\gamma", "\\\\sum", "\\\\int", "\\\\sqrt")
+HOLD_MARKERS, QUARANTINED = ("qwen_tech", "http", "timeout", "parse", "control character", "控制字符"), "recycle_quarantine"
+PYTHON_SIGNS = ("import ", "plt.", "np.", "def ", "fig,", "ax.", "matplotlib")
+LATEX_SIGNS = r"\\begin\{(circuitikz|tikzpicture|document|figure)\}|\\documentclass|\\usepackage|\\draw\b"
 RAW_COMMANDS = ("frac", "alpha", "beta", "gamma", "sum", "int", "sqrt", "begin", "end")
 TYPOS = ("\\rac", "\\farc", "\\frc")
 CONCLUSIONS = (
@@ -32,6 +45,12 @@ def control_chars(text: Column) -> Column:
     return text.rlike(r"[\x00-\x08\x0b\x0c\x0e-\x1f]")
 
 
+def first_control(text: Column) -> Column:
+    """The first control character as U+XXXX, or null."""
+    found = F.regexp_extract(text, r"[\x00-\x08\x0b\x0c\x0e-\x1f]", 0)
+    return F.when(control_chars(text), F.format_string("U+%04X", F.ascii(found)))
+
+
 def occurrences(text: Column, part: str) -> Column:
     return ((F.length(text) - F.length(F.replace(text, F.lit(part)))) / len(part)).cast("int")
 
@@ -43,7 +62,7 @@ def unbalanced(text: Column) -> Column:
 
 #: Fields of a record whose strings the quarantine reads.
 LATEX_FIELDS = ("question_text", "explanation", "image_prompt", "final_image_prompt", "image_dependency_reason", "options", "truth_spec")
-MATH = r"(?s)\$\$.*?\$\$|\$[^$\n]+\$|\\\(.*?\\\)|\\\[.*?\\\]"
+MATH = tuple(re.compile(p, re.DOTALL) for p in (r"\$\$.*?\$\$", r"\$[^$\n]+\$", r"\\\(.*?\\\)", r"\\\[.*?\\\]"))
 LATEX_SIGNAL = r"\\[A-Za-z]+|\\[\[(]|\$\$|(?<!\\)\$(?!\$)"
 
 
@@ -53,7 +72,7 @@ def _record(raw: str | None) -> tuple[str, str | None]:
     except (ValueError, RecursionError):
         return "broken", None
     if not isinstance(record, dict):
-        return "other", None
+        return type(record).__name__, None
     named = [record[f] for f in LATEX_FIELDS if f in record]
     out, rest = [], [named or record]
     while rest:
@@ -66,7 +85,7 @@ def _record(raw: str | None) -> tuple[str, str | None]:
 
 
 def record(raw: Column) -> Column:
-    """(kind, text) of JSON: kind object, other or broken, and of an object the strings within its LATEX_FIELDS, at any
+    """(kind, text) of JSON: kind object, broken, or else the root's type (list, str, int, float, bool, NoneType), and of an object the strings within its LATEX_FIELDS, at any
     depth, one a line, or all its strings if it has none of these fields (T25).
 
     Python over Arrow batches: try_parse_json takes text with a rest behind the value, such as '{}}', for whole.
@@ -79,25 +98,47 @@ def record(raw: Column) -> Column:
     return run(raw)
 
 
-def unbalanced_signalled(text: Column) -> Column:
-    """If text shows LaTeX at all: unequal brackets, or an odd count of double dollars (T5)."""
-    odd = (occurrences(text, "$$") % 2 != 0) | (occurrences(text, "\\(") != occurrences(text, "\\)")) | (occurrences(text, "\\[") != occurrences(text, "\\]"))
-    return F.coalesce(text.rlike(LATEX_SIGNAL) & odd, F.lit(False))
+def latex_faults(text: Column) -> Column:
+    """If text shows LaTeX at all: the names of brackets that do not pair up, and of an odd count of double dollars (T5)."""
+    uneven = lambda a, b: occurrences(text, a) != occurrences(text, b)
+    faults = [F.when(uneven("\\(", "\\)"), "unbalanced_latex_inline_delimiter"), F.when(uneven("\\[", "\\]"), "unbalanced_latex_display_delimiter"), F.when(occurrences(text, "$$") % 2 != 0, "unbalanced_latex_double_dollar")]
+    found = F.filter(F.array(*faults), lambda x: x.isNotNull())
+    return F.when(text.rlike(LATEX_SIGNAL), found).otherwise(F.array().cast("array<string>"))
+
+
+def _blanked(text: str | None) -> str | None:
+    if text is None or not set(text) & set("$\\"):
+        return text
+    out = list(text)
+    for kind in MATH:
+        for m in kind.finditer(text):
+            out[m.start() : m.end()] = " " * (m.end() - m.start())
+    return "".join(out)
 
 
 def without_math(text: Column) -> Column:
-    r"""Text with each math span, of $$, $, \( and \[, as one blank.
+    r"""Text with the math spans of $$, $, \( and \[ as blanks of their length.
 
-    Spans are taken from left to right; the reference takes each kind by itself, so that text between two $$ spans
-    counts as math there, and not here.
+    Each kind of span is looked for by itself, so that what stands between two $$ spans counts as math too. Python over
+    Arrow batches, as spans that overlap cannot be blanked one after the other.
     """
-    return F.regexp_replace(text, MATH, " ")
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(_blanked)
+
+    return run(text)
 
 
 def bare_command(text: Column) -> Column:
-    """The first of COMMANDS that stands outside math, or null."""
+    """The first of COMMANDS that stands outside math, or null (T7); only texts with one of them are searched."""
     outside = without_math(text)
-    return F.coalesce(*[F.when(F.contains(outside, F.lit(c)), F.lit(c)) for c in COMMANDS])
+    return F.when(contains_any_case(text, COMMANDS), F.coalesce(*[F.when(F.contains(outside, F.lit(c)), F.lit(c)) for c in COMMANDS]))
+
+
+def contains_any_case(text: Column, parts: tuple[str, ...]) -> Column:
+    """Whether one of the parts stands in text, in this case."""
+    return reduce(or_, [F.contains(text, F.lit(p)) for p in parts])
 
 
 def environments_differ(text: Column) -> Column:
@@ -117,6 +158,11 @@ def raw_marker(text: Column) -> Column:
     return F.coalesce(*[F.when(F.contains(text, F.lit(m)), F.lit(m)) for m in marks])
 
 
+def doubled_marker(text: Column) -> Column:
+    """The first of the generator's markers, which doubles backslashes, that a drawing prompt shows; or null."""
+    return F.coalesce(*[F.when(F.contains(text, F.lit(m)), F.lit(m)) for m in DOUBLED_COMMANDS])
+
+
 def concludes(text: Column) -> Column:
     """Whether a text, normalised, gives a conclusion away."""
     return normalised(text).rlike("(?U)" + "|".join(CONCLUSIONS))
@@ -127,7 +173,19 @@ def has_word(text: Column, words: tuple[str, ...]) -> Column:
     return text.rlike(r"(?i)(^|[^\p{L}\p{N}_])(" + "|".join(words) + r")($|[^\p{L}\p{N}_])")
 
 
-def opens_with(text: Column, words: tuple[str, ...]) -> Column:
+def first_word_of(text: Column, words: tuple[str, ...]) -> Column:
+    """The first of the words, in their order, that has_word() finds, or null."""
+    return F.coalesce(*[F.when(has_word(text, (w,)), F.lit(w)) for w in words])
+
+
+def first_part_of(text: Column, parts: tuple[str, ...]) -> Column:
+    """The first of the parts, in their order, that text holds in any case, or null."""
+    low = F.lower(text)
+    return F.coalesce(*[F.when(F.contains(low, F.lit(p.lower())), F.lit(p)) for p in parts])
+
+
+def opens_with(text: Column, words: tuple[str, ...] = OPENINGS) -> Column:
+    """Whether text, trimmed, begins with one of the patterns."""
     return F.trim(text).rlike("(?i)^(" + "|".join(words) + ")")
 
 
@@ -152,9 +210,15 @@ def answer_lax(text: Column) -> Column:
 
 
 def answer_last(text: Column) -> Column:
-    """The last letter A-D that stands alone."""
-    found = F.regexp_extract_all(F.upper(text), F.lit(r"(?:^|[^\p{L}\p{N}_])([ABCD])(?=$|[^\p{L}\p{N}_])"), F.lit(1))
-    return F.when(F.size(found) > 0, F.element_at(found, -1)).otherwise("")
+    """The letter after the first final answer, or answer, named in the last ten lines; else after the last one named
+    anywhere, of the first kind there is; else the last letter A-D that stands alone; '' if none (T19)."""
+    lines = F.split(F.trim(text), r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]", -1)
+    tail = F.array_join(F.slice(lines, F.greatest(F.size(lines) - 9, F.lit(1)), F.lit(10)), "\n")
+    named = [rf"(?iU){word}\s*[:：]\s*([ABCD])" for word in ("最终答案", "答案")]
+    blank = lambda c: F.nullif(c, F.lit(""))
+    last = lambda c, p: F.try_element_at(F.regexp_extract_all(c, F.lit(p), F.lit(1)), F.lit(-1))
+    alone = r"(?i)(?:^|[^\p{L}\p{N}_])([ABCD])(?=$|[^\p{L}\p{N}_])"
+    return F.upper(F.coalesce(*[blank(F.regexp_extract(tail, p, 1)) for p in named], *[last(text, p) for p in (*named, alone)], F.lit("")))
 
 
 def file_name(text: Column) -> Column:
@@ -162,6 +226,74 @@ def file_name(text: Column) -> Column:
     return F.substring(F.regexp_replace(text, r"[^\p{L}\p{N}_-]", "_"), 1, 80)
 
 
+def final_prompt(prompt: Column, suffix: str = STYLE_SUFFIX) -> Column:
+    """The prompt, trimmed, with the style suffix on a line of its own; the suffix alone without one."""
+    t = F.regexp_replace(F.coalesce(prompt, F.lit("")), r"(?U)^\s+|\s+$", "")
+    return F.when(t == "", F.lit(suffix)).otherwise(F.concat(t, F.lit("\n" + suffix)))
+
+
+def rollout_detail(detail: Column) -> Column:
+    """struct<wrong, correct, answers> of a detail such as 'wrong=3 correct=1 answers=A,B,D,C', or null."""
+    form = r"wrong=(\d+) correct=(\d+) answers=(\S+)"
+    part = lambda k: F.regexp_extract(detail, form, k)
+    value = F.struct(part(1).try_cast("int").alias("wrong"), part(2).try_cast("int").alias("correct"), F.filter(F.split(part(3), ","), lambda a: a != "").alias("answers"))
+    return F.when(detail.rlike(form), value)
+
+
+def lenient_detail(detail: Column) -> Column:
+    """struct<wrong, correct, answers> of the parts that a detail has: counts up to 5, answers of A-D; else null."""
+    part = lambda form, c: F.nullif(F.regexp_extract(c, form, 1), F.lit(""))
+    answers = F.filter(F.transform(F.split(part("answers=([A-D, ]+)", detail), ","), F.trim), lambda a: a != "")
+    return F.struct(part("wrong=([0-5])", F.lower(detail)).try_cast("int").alias("wrong"), part("correct=([0-5])", F.lower(detail)).try_cast("int").alias("correct"), answers.alias("answers"))
+
+
+def format_detail(prefix: Column, wrong: Column, correct: Column, answers: Column, wrong_first: bool = False) -> Column:
+    """The detail text of a score, 500 characters at most."""
+    count = lambda name, c: F.concat(F.lit(f"{name}="), F.coalesce(c, F.lit(0)).cast("string"))
+    counts = [count("correct", correct), count("wrong", wrong)]
+    return F.substring(F.concat_ws(" ", prefix, *(reversed(counts) if wrong_first else counts), F.concat(F.lit("answers="), F.array_join(F.coalesce(answers, F.array().cast("array<string>")), ","))), 1, 500)
+
+
+def key_subject(key: Column) -> Column:
+    """A key up to its module part, -M."""
+    return F.substring_index(key, "-M", 1)
+
+
+def key_last(key: Column) -> Column:
+    """A key's last dash-separated part; the first eight characters of a key without a dash."""
+    return F.when(F.contains(key, F.lit("-")), F.substring_index(key, "-", -1)).otherwise(F.substring(key, 1, 8))
+
+
+def no_python(code: Column) -> Column:
+    """Whether the first 600 characters of drawing code show LaTeX and nothing of Python."""
+    head = F.substring(F.coalesce(code, F.lit("")), 1, 600)
+    return head.rlike(LATEX_SIGNS) & ~contains_any_case(head, PYTHON_SIGNS)
+
+
+def has_cjk(text: Column) -> Column:
+    """Whether a CJK ideograph occurs."""
+    return text.rlike("[\\u4e00-\\u9fff\\u3400-\\u4dbf]")
+
+
+def plain_digits(text: Column) -> Column:
+    """Digits written above or below the line as plain ones."""
+    return F.translate(text, "₀₁₂₃₄₅₆₇₈₉⁰¹²³⁴⁵⁶⁷⁸⁹", "01234567890123456789")
+
+
+def clamped_int(text: Column, default: int, low: int = 0, high: int | None = None) -> Column:
+    """An integer setting: the default where there is none or no number, else held between low and high."""
+    number = F.trim(text).try_cast("int")
+    value = F.greatest(number, F.lit(low))
+    return F.when(number.isNull(), F.lit(default)).otherwise(value if high is None else F.least(value, F.lit(high)))
+
+
+def steps(text: Column, above: int, most: int) -> Column:
+    """A comma list of integers: those above a start, held to most, ascending and once each."""
+    numbers = F.transform(F.split(F.coalesce(text, F.lit("")), ","), lambda x: F.trim(x).try_cast("int"))
+    kept = F.filter(numbers, lambda n: n.isNotNull() & (n > above))
+    return F.array_sort(F.array_distinct(F.transform(kept, lambda n: F.least(n, F.lit(most)))))
+
+
 def key_module(key: Column) -> Column:
     """A key without its last dash-separated part."""
     return F.regexp_replace(key, "-[^-]*$", "")

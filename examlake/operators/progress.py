@@ -56,3 +56,13 @@ def top_per_group(rows: DataFrame, group: list[str], order: list[Column], n: int
 def over_provisioned(need: Column) -> Column:
     """Extra items against losses: three more for small needs, then half, then 30 per cent more."""
     return F.when(need <= 0, 0).when(need <= 5, need + 3).when(need <= 20, (need * 1.5 + 0.999).cast("int")).otherwise((need * 1.3 + 0.999).cast("int"))
+
+
+def custom_deficits(rows: DataFrame, subject: str, key: str, have: str, target: int, first: int) -> DataFrame:
+    """Quotas of a run for a target per subject (A32, A17): subjects that have it are left out; of the others the first
+    keys get what they have and a share of the gap (W11); need is that share."""
+    done = F.sum(have).over(Window.partitionBy(subject))
+    short = rows.withColumn("_gap", F.greatest(F.lit(0), target - done)).where("_gap > 0")
+    top = top_per_group(short, [subject], [F.asc(key)], first).drop("rank")
+    shared = apportioned(top.withColumn("_w", F.lit(1)), [subject], F.col("_gap"), "_w", key)
+    return shared.withColumns({"quota": F.col(have) + F.col("share"), "need": F.col("share")}).drop("_gap", "_w", "share")

@@ -1,8 +1,8 @@
-"""Current state over append-only events."""
+"""Current state over append-only events."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -23,14 +23,15 @@ def partial_updates(updates: DataFrame, key: str, order: str, columns: list[str]
 
 
 def insert_ignore(new: DataFrame, existing: DataFrame, key: str) -> DataFrame:
-    """Rows of new whose key is not there yet, one per key (K2)."""
-    return new.join(existing, key, "left_anti").dropDuplicates([key])
+    """Rows of new whose key is not there yet, one per key: the one that sorts first by its other columns (K2)."""
+    order = Window.partitionBy(key).orderBy(*[c for c in new.columns if c != key] or [key])
+    return new.join(existing, key, "left_anti").withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
 
 
 def illegal_transitions(log: DataFrame, allowed: DataFrame) -> DataFrame:
     """Audit rows (old_status, new_status) that the table of transitions does not have."""
     same = log["old_status"].eqNullSafe(allowed["old_status"]) & (log["new_status"] == allowed["new_status"])
-    return log.join(F.broadcast(allowed), same, "left_anti")
+    return log.join(allowed, same, "left_anti")
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Milestones, chunks, run lengths, hysteresis, stalls and rotations."""
+"""Milestones, chunks, run lengths, hysteresis, stalls and rotations."""
 
 from __future__ import annotations
 
@@ -56,3 +56,20 @@ def slots(rows: DataFrame, quota: str, cycles: dict[str, list[str]]) -> DataFram
     out = rows.where(F.col(quota) > 0).withColumn("slot", F.explode(F.sequence(F.lit(1), F.col(quota))))
     pick = lambda values: F.element_at(F.array(*map(F.lit, values)), F.pmod(F.col("slot") - 1, F.lit(len(values))) + 1)
     return out.withColumns({name: pick(values) for name, values in cycles.items()})
+
+
+def blueprint(rows: DataFrame, quota: str, pattern: Column, archetypes: list[str], images: list[str], skills: list[str], english: int = 6) -> DataFrame:
+    """One row per slot with all that a question is planned by (W4): difficulty by pattern, archetype, image type and
+    skill in turn, image types moved on by one with each round of archetypes, and every english-th slot in English."""
+    out = rows.withColumn("_pattern", pattern).withColumn("slot", F.explode(F.sequence(F.lit(1), F.greatest(F.col(quota), F.lit(1)))))
+    i = F.col("slot") - 1
+    turn = lambda values, at: F.element_at(F.array(*map(F.lit, values)), (F.pmod(at, F.lit(len(values))) + 1).cast("int"))
+    level = F.element_at("_pattern", (F.pmod(i, F.size("_pattern")) + 1).cast("int"))
+    return out.withColumns({"language": F.when(F.col("slot") % english == 0, "en").otherwise("zh"), "difficulty": level, "archetype": turn(archetypes, i), "image_type": turn(images, i + F.floor(i / len(archetypes))), "competency": turn(skills, i)}).drop("_pattern")
+
+
+def escalated(incidents: DataFrame, group: list[str], order: list[str], level: str, most: int = 5) -> DataFrame:
+    """paused: a critical incident, or an error that is at least the most-th of those noted; warnings count."""
+    w = Window.partitionBy(*group).orderBy(*order)
+    noted = F.sum((F.col(level) != "CRITICAL").cast("int")).over(w)
+    return incidents.withColumn("paused", (F.col(level) == "CRITICAL") | ((F.col(level) == "ERROR") & (noted >= most)))

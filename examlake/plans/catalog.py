@@ -2,28 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from examlake.functions import text as T
-from examlake.operators import arrays, gates, progress, reconcile, rollouts, sampling, state, windows
+from examlake.operators import arrays, dashboard, gates, progress, reconcile, rollouts, sampling, state, windows
+from examlake.plans import orders, records, rules  # noqa: F401  they register queries of their own
+from examlake.plans.registry import NOT_WORD, ORACLE_SQL, QUERIES, query  # noqa: F401
 from examlake.sources.tables import load
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+from examlake.streaming import jobs
 
 DRIVER_WORDS = ("the", "and")
-NOT_WORD = r"[^\p{L}\p{N}_]"
-
-
-def query(sql: str):
-    def add(f):
-        QUERIES[f.__name__], ORACLE_SQL[f.__name__] = f, sql
-        return f
-
-    return add
 
 
 @query("""SELECT o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS "F", count(*) FILTER (o_orderstatus = 'O') AS "O",
@@ -82,7 +70,7 @@ def lookup_default(spark, d):
 def protected_phrase_leak(spark, d):
     texts = load(spark, d, "documents").select("doc_id", T.normalised(F.col("text")).alias("t"))
     phrases = load(spark, d, "benchmark").select("item_id", T.normalised(F.col("text")).alias("p"))
-    return reconcile.leaks(texts, phrases, "t", "p").select("doc_id", "item_id")
+    return reconcile.leaks(texts, phrases, "t", "p", "doc_id", "item_id")
 
 
 @query(r"""SELECT doc_id, len(list_filter(regexp_split_to_array(regexp_replace(text, '[\x{4e00}-\x{9fff}]+', ' ZH ', 'g'), '[\s\x{0b}\x{85}\x{a0}]+'), lambda x: x <> ''))::INTEGER AS words FROM documents""")
@@ -151,10 +139,13 @@ def majority_accuracy(spark, d):
     return rollouts.majority(_rollouts(spark, d))
 
 
-@query("""SELECT CASE WHEN event_type = 'error' AND value > 50 THEN 'hard_error' WHEN event_type = 'error' THEN 'error' WHEN value IS NULL THEN 'no_value' ELSE 'ok' END AS class, count(*) AS n FROM events GROUP BY 1""")
+@query("""SELECT CASE WHEN event_type = 'error' THEN CASE WHEN value > 50 THEN 'technical failure' WHEN value > 20 THEN 'too easy' ELSE 'render failure' END WHEN event_type = 'click' THEN 'pending' ELSE 'hold' END AS class,
+          count(*) AS n FROM events WHERE event_type IN ('error', 'view', 'click') GROUP BY 1""")
 def failure_classes(spark, d):
-    kind = F.when((F.col("event_type") == "error") & (F.col("value") > 50), "hard_error").when(F.col("event_type") == "error", "error").when(F.col("value").isNull(), "no_value").otherwise("ok")
-    return load(spark, d, "events").groupBy(kind.alias("class")).agg(F.count("*").alias("n"))
+    note = F.when(F.col("event_type") == "error", F.when(F.col("value") > 50, "Qwen_technical: timeout").when(F.col("value") > 20, "candidate_quality_fail").otherwise("render has FAILed"))
+    status = F.when(F.col("event_type") == "view", "HOLD").when(F.col("event_type") == "click", "REGENERATE").otherwise("FINAL_PASS")
+    kinds = load(spark, d, "events").select(dashboard.failure_class(note, status).alias("class")).where("class is not null")
+    return dashboard.most_common(kinds, "class")
 
 
 @query("""WITH n AS (SELECT o_orderkey, o_orderpriority, (row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) - 1) // 100 AS chunk FROM orders),
@@ -171,7 +162,7 @@ def chunk_export(spark, d):
     return windows.complete_chunks(rows, ["o_custkey"], ["o_orderdate", "o_orderkey"], 10).drop("o_orderdate")
 
 
-@query("""WITH z AS (SELECT event_id, user_id, CASE WHEN value < 20 THEN 0 WHEN value < 40 THEN 1 WHEN value < 60 THEN 2 WHEN value < 80 THEN 3 ELSE 4 END AS zone FROM events),
+@query("""WITH z AS (SELECT event_id, user_id, CASE WHEN value / 100 < 0.3 THEN 0 WHEN value / 100 < 0.5 THEN 1 WHEN value / 100 < 0.7 THEN 2 WHEN value / 100 < 0.8 THEN 3 ELSE 4 END AS zone FROM events),
           c AS (SELECT *, coalesce((zone <> lag(zone) OVER w)::INT, 1) AS ch FROM z WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
           r AS (SELECT *, sum(ch) OVER (PARTITION BY user_id ORDER BY event_id) AS run FROM c)
           SELECT event_id, user_id, zone, row_number() OVER (PARTITION BY user_id, run ORDER BY event_id) >= 3 AS acted FROM r""")
@@ -195,11 +186,10 @@ def error_islands(spark, d):
 
 
 @query("""WITH w AS (SELECT event_id, user_id, list_sort(list(value) OVER w) AS v FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 49 PRECEDING AND CURRENT ROW))
-          SELECT event_id, user_id, CASE WHEN len(v) < 5 THEN NULL ELSE v[least(floor(len(v) * 0.95)::INT + 1, len(v))] END AS p95 FROM w""")
+          SELECT event_id, user_id, round(list_avg(v), 8) AS mean, round(CASE WHEN len(v) < 5 THEN list_avg(v) ELSE v[least(floor(len(v) * 0.95)::INT + 1, len(v))] END, 8) AS p95 FROM w""")
 def trailing_p95(spark, d):
     out = windows.trailing(load(spark, d, "events").select("event_id", "user_id", "value"), ["user_id"], ["event_id"], "value")
-    n = F.row_number().over(windows.Window.partitionBy("user_id").orderBy("event_id"))
-    return out.withColumn("n", n).select("event_id", "user_id", F.when(F.col("n") >= 5, F.col("p95")).alias("p95"))
+    return out.select("event_id", "user_id", F.round("mean", 8).alias("mean"), F.round("p95", 8).alias("p95"))
 
 
 @query("""WITH s AS (SELECT s_nationkey, s_suppkey, greatest(0, floor(s_acctbal)::BIGINT) AS weight FROM supplier),
@@ -234,7 +224,8 @@ def stratified_hash_sample(spark, d):
 
 @query("SELECT time_bucket(INTERVAL '15 minutes', ts)::TIMESTAMP AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def tumbling_15min(spark, d):
-    return load(spark, d, "events").groupBy(F.window("ts", "15 minutes").alias("w"), "event_type").agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), "event_type", "n")
+    events = load(spark, d, "events").select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("kind"), "value")
+    return jobs.period_counts(events).select(F.col("start").cast("timestamp_ntz").alias("start"), F.col("kind").alias("event_type"), "n")
 
 
 @query("SELECT user_id, arg_min(event_type, event_id) AS event_type, arg_max(value, event_id) AS value, count(*) AS writes FROM events GROUP BY 1")
@@ -279,24 +270,22 @@ def recycle_route(spark, d):
     return load(spark, d, "events").select("event_id", gates.routed(status, F.col("value") > 50).alias("route"))
 
 
-@query("""SELECT p_partkey, substr(regexp_replace(p_name, '[^\\p{L}\\p{N}_-]', '_', 'g'), 1, 80) AS file_name, regexp_replace(p_brand || '-x1', '-[^-]*$', '') AS module FROM part""")
+@query(r"""SELECT p_partkey, substr(regexp_replace(p_name, '[^\p{L}\p{N}_-]', '_', 'g'), 1, 80) AS file_name, regexp_replace(k, '-[^-]*$', '') AS module, split_part(k, '-M', 1) AS subject, split_part(k, '-', 3) AS last
+           FROM (SELECT p_partkey, p_name, 'S' || lpad((p_size % 24)::VARCHAR, 2, '0') || '-M' || lpad((p_partkey % 7)::VARCHAR, 2, '0') || '-' || p_partkey AS k FROM part)""")
 def key_helpers(spark, d):
-    return load(spark, d, "part").select("p_partkey", T.file_name(F.col("p_name")).alias("file_name"), T.key_module(F.concat("p_brand", F.lit("-x1"))).alias("module"))
-
-
-@query("""SELECT page_id, [CASE WHEN trim(html) = '' THEN 'empty_question_json' END, 'json_parse_error'][CASE WHEN trim(html) = '' THEN 1 ELSE 2 END] AS reason FROM pages""")
-def quarantine_reason(spark, d):
-    out = gates.quarantine(load(spark, d, "pages").select("page_id", "html"), "html")
-    return out.select("page_id", F.element_at(F.filter("reasons", lambda r: r.isin("empty_question_json", "json_parse_error")), 1).alias("reason"))
+    part = load(spark, d, "part").withColumn("k", F.format_string("S%02d-M%02d-%d", F.col("p_size") % 24, F.col("p_partkey") % 7, "p_partkey"))
+    k = F.col("k")
+    return part.select("p_partkey", T.file_name(F.col("p_name")).alias("file_name"), T.key_module(k).alias("module"), T.key_subject(k).alias("subject"), T.key_last(k).alias("last"))
 
 
 #: j is a JSON column and id its key; every reason, with the record parsed.
 REASONS = r"""v AS (SELECT *, CASE WHEN json_valid(j) THEN json_type(j) END AS kind, CASE WHEN json_valid(j) THEN coalesce(j->>'$.question_text', '') ELSE '' END AS t FROM r),
-           c AS (SELECT *, regexp_matches(t, '\\[A-Za-z(\[]|\$\$|(^|[^\\])\$') AS signal, (length(t) - length(replace(t, '$$', ''))) // 2 % 2 <> 0 AS odd,
-             length(replace(t, '\(', '')) <> length(replace(t, '\)', '')) OR length(replace(t, '\[', '')) <> length(replace(t, '\]', '')) AS uneven FROM v)
-           SELECT id, array_to_string(list_filter([CASE WHEN trim(j) = '' THEN 'empty_question_json' END, CASE WHEN regexp_matches(j, '[\x00-\x08\x0b\x0c\x0e-\x1f]') THEN 'illegal_control_char' END,
-             CASE WHEN trim(j) <> '' AND NOT json_valid(j) THEN 'json_parse_error' END, CASE WHEN kind <> 'OBJECT' THEN 'invalid_question_json_type' END,
-             CASE WHEN kind = 'OBJECT' AND signal AND (odd OR uneven) THEN 'unbalanced_latex' END], lambda x: x IS NOT NULL), ',') AS reasons FROM c"""
+           c AS (SELECT *, regexp_matches(t, '\\[A-Za-z(\[]|\$\$|(^|[^\\])\$') AS signal FROM v)
+           SELECT id, CASE WHEN trim(j) = '' THEN 'empty_question_json' ELSE array_to_string(list_filter([CASE WHEN regexp_matches(j, '[\x00-\x08\x0b\x0c\x0e-\x1f]') THEN 'illegal_control_char:U+0001' END,
+             CASE WHEN NOT json_valid(j) THEN 'json_parse_error' END, CASE kind WHEN 'ARRAY' THEN 'invalid_question_json_type:list' WHEN 'VARCHAR' THEN 'invalid_question_json_type:str' END,
+             CASE WHEN kind = 'OBJECT' AND signal AND length(replace(t, '\(', '')) <> length(replace(t, '\)', '')) THEN 'unbalanced_latex_inline_delimiter' END,
+             CASE WHEN kind = 'OBJECT' AND signal AND length(replace(t, '\[', '')) <> length(replace(t, '\]', '')) THEN 'unbalanced_latex_display_delimiter' END,
+             CASE WHEN kind = 'OBJECT' AND signal AND (length(t) - length(replace(t, '$$', ''))) // 2 % 2 <> 0 THEN 'unbalanced_latex_double_dollar' END], lambda x: x IS NOT NULL), ',') END AS reasons FROM c"""
 
 #: Question texts put into events.props, in JSON; the last rows are no record at all.
 TEXTS = [r"costs $5", r"open $$x", r"$$x$$", r"\\( x", r"no sign \\)", r"\\frac x \\)", r"a \\[ x \\]"]

@@ -34,7 +34,7 @@ def test_answers_and_gates(spark):
     strict = [r[0] for r in df.select(T.answer_strict(F.col("t"))).collect()]
     assert strict == ["A", "B", "A", "", "", ""]
     bad = spark.createDataFrame([("",), ("[1]",), ("{\"a\": 1}",), ("{\"a\": \"x \\( y\"}".replace("\\", "\\\\"),)], "j string")
-    assert [r["reasons"] for r in gates.quarantine(bad, "j").collect()] == [["empty_question_json"], ["invalid_question_json_type"], [], ["unbalanced_latex"]]
+    assert [r["reasons"] for r in gates.quarantine(bad, "j").collect()] == [["empty_question_json"], ["invalid_question_json_type:list"], [], ["unbalanced_latex_inline_delimiter"]]
     words = spark.createDataFrame([("one 中文字 two",), ("",), (None,)], "t string")
     assert [r[0] for r in words.select(T.mixed_words(F.col("t"))).collect()] == [3, 0, 0]
 

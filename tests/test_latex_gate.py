@@ -10,7 +10,7 @@ def test_latex_gate(spark):
     cases = [
         ("plain", "an apple", []), ("$\\frac{1}{2}$ and \\(\\alpha\\)", "α ≤ 2", []), ("so \\frac{1}{2}", "x", ["q:bare_command"]), ("$$a$$ \\[\n\\sum\n\\] $b$", "x", []),
         ("\\begin{a}\\begin{b}\\end{b}\\end{a}", "x", ["q:environments"]), ("\\begin{a}x\\end{a}", "x", []), ("open \\begin{a}", "x", ["q:environments"]), ("a rac{1}", "x", ["q:typo"]),
-        ("\\FARC", "x", ["q:typo"]), ("trac{", "x", []), ("one $", "\\alpha", ["q:unbalanced_math", "p:raw_latex"]), (None, None, []), ("\x01", "$", ["q:control_char", "p:raw_latex"]),
+        ("\\FARC", "x", ["q:typo"]), ("trac{", "x", []), ("one $", "\\alpha", ["q:dollar", "p:raw_latex"]), (None, None, []), ("\x01", "$", ["q:control_char", "p:raw_latex"]),
     ]
     got = gates.latex_gate(spark.createDataFrame(cases, "q string, p string, want array<string>"), ["q"], "p").collect()
     assert [r["issues"] for r in got] == [r["want"] for r in got]
