@@ -64,7 +64,7 @@ def test_sources(spark, tmp_path):
     assert [r["question_id"] for r in store.json_array(spark, str(tmp_path / "s1.json"), "question_id string, options map<string,string>").collect()] == ["a", "b"]
     (tmp_path / "control.json").write_text('{"pause": true}')
     assert tuple(tables.controls(spark, str(tmp_path / "control.json"), {"pause": False, "slots": 12}).first()) == (True, 12)
-    assert [r["length"] for r in tables.listing(spark, str(tmp_path), ".csv").collect()] == [36]
+    assert [r["length"] for r in tables.listing(spark, str(tmp_path), ".csv").collect()] == [44]
     taxonomy = spark.createDataFrame([("S1", "n", [("m1", [("k1",), ("k2",)])], [("k3",)]), ("S2", "n", None, [])], "subject_id string, subject_name string, modules array<struct<module_id:string,knowledge_points:array<struct<knowledge_point_id:string>>>>, knowledge_points array<struct<knowledge_point_id:string>>")
     assert sorted((r["module_id"] or "", r["knowledge_point_id"]) for r in tables.knowledge_points(taxonomy).collect()) == [("", "k3"), ("m1", "k1"), ("m1", "k2")]
     folder = tmp_path / "logs"
