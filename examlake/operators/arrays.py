@@ -1,4 +1,4 @@
-"""Reductions over arrays of numbers, as the pixel gates use."""
+"""Reductions over arrays of numbers."""
 
 from __future__ import annotations
 

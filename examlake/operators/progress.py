@@ -1,4 +1,4 @@
-"""Counts, deficits and quotas."""
+"""Counts, deficits and quotas."""
 
 from __future__ import annotations
 

@@ -1,4 +1,4 @@
-"""Semi, anti and full-outer reconciliation, lookups, overlays."""
+"""Semi, anti and full-outer reconciliation, lookups, overlays, phrase leaks."""
 
 from __future__ import annotations
 

@@ -1,4 +1,4 @@
-"""Scores of repeated answers."""
+"""Scores of repeated answers."""
 
 from __future__ import annotations
 

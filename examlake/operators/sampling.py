@@ -1,4 +1,4 @@
-"""Deterministic samples by hash order."""
+"""Deterministic samples by hash order."""
 
 from __future__ import annotations
 

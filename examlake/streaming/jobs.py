@@ -1,4 +1,4 @@
-"""Incremental jobs over event files: available-now batches, and provider health as keyed state (ST1-ST10, W6)."""
+"""Incremental jobs over event files: available-now batches, and provider health as keyed state (ST2, ST7, ST10, S9, W6, W15)."""
 
 from __future__ import annotations
 
@@ -24,24 +24,45 @@ def period_counts(events: DataFrame, late: str = "30 minutes", period: str = "15
 
 
 def exactly_once(events: DataFrame, late: str = "1 hour") -> DataFrame:
-    """Each event once, though files repeat it within the watermark (ST10)."""
+    """Each event once, though files repeat it within the watermark; one that comes later than that is exported again,
+    unless the target is read with store.fresh() (ST10)."""
     return events.withWatermark("ts", late).dropDuplicatesWithinWatermark(["event_id"])
 
 
+# Errors in a row for each status, the rate that heals, and seconds of a cooldown.
+DEGRADED, COOLDOWN, DISABLED, HEALED, COOL = 3, 5, 15, 0.95, 60.0
+FRESH = (0, 0, 0, "HEALTHY", 0.0)
+
+
+def advanced(state: tuple[int, int, int, str, float], ts: float, ok: bool) -> tuple[int, int, int, str, float]:
+    """(errors in a row, successes, failures, status, end of cooldown) after one call (W6): a success ends the run and
+    heals what is degraded once the rate is over HEALED; errors degrade, cool down and disable; time ends a cooldown."""
+    run, good, bad, status, until = state
+    if status == "COOLDOWN" and ts >= until:
+        run, status = 0, "HEALTHY"
+    if ok:
+        good += 1
+        return 0, good, bad, "HEALTHY" if status == "DEGRADED" and good > HEALED * (good + bad) else status, until
+    run, bad = run + 1, bad + 1
+    if run >= DISABLED:
+        return run, good, bad, "DISABLED", until
+    if run >= COOLDOWN:
+        return run, good, bad, "COOLDOWN", ts + COOL
+    return run, good, bad, "DEGRADED" if run >= DEGRADED else status, until
+
+
 def health(key: tuple[str], batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    """Status of one provider by its run of errors: DEGRADED from 3, COOLDOWN from 5, DISABLED from 15; a success
-    resets the run."""
-    run, seen = state.get if state.exists else (0, 0)
+    """Status of one provider by its calls, in order of time and id within a batch."""
+    now = state.get if state.exists else FRESH
     for t in batches:
-        for kind in t.sort_values("event_id")["kind"]:
-            run, seen = (run + 1 if kind == "error" else 0), seen + 1
-    state.update((run, seen))
-    status = "DISABLED" if run >= 15 else "COOLDOWN" if run >= 5 else "DEGRADED" if run >= 3 else "HEALTHY"
-    yield pd.DataFrame({"key": [key[0]], "errors": [run], "seen": [seen], "status": [status]})
+        for r in t.sort_values(["ts", "event_id"]).itertuples():
+            now = advanced(now, r.ts.timestamp(), r.kind != "error")
+    state.update(now)
+    yield pd.DataFrame({"key": [key[0]], "errors": [now[0]], "seen": [now[1] + now[2]], "status": [now[3]]})
 
 
 def provider_health(events: DataFrame) -> DataFrame:
-    return events.groupBy("key").applyInPandasWithState(health, "key string, errors long, seen long, status string", "run long, seen long", "update", "NoTimeout")
+    return events.groupBy("key").applyInPandasWithState(health, "key string, errors long, seen long, status string", "run long, good long, bad long, status string, until double", "update", "NoTimeout")
 
 
 def run_available(df: DataFrame, target: str, checkpoint: str, mode: str = "append") -> StreamingQuery:

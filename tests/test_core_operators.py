@@ -56,4 +56,16 @@ def test_streams(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 6
     q = jobs.provider_health(stream).writeStream.outputMode("update").format("memory").queryName("health").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c2")).start()
     q.awaitTermination()
-    assert spark.table("health").first()["status"] == "HEALTHY"
+    assert spark.table("health").first()["status"] == "DEGRADED"  # two successes of six do not heal
+
+
+def test_provider_states():
+    def after(calls, state=jobs.FRESH):
+        for ts, ok in calls:
+            state = jobs.advanced(state, ts, ok)
+        return state
+
+    errors = lambda n: [(float(i), False) for i in range(n)]
+    assert [after(errors(n))[3] for n in (2, 3, 4, 5, 14, 15)] == ["HEALTHY", "DEGRADED", "DEGRADED", "COOLDOWN", "COOLDOWN", "DISABLED"]
+    assert after([(0.0, True)] * 100 + errors(3) + [(9.0, True)])[3] == "HEALTHY" and after(errors(3) + [(9.0, True)])[3] == "DEGRADED"
+    assert after([*errors(5), (30.0, True)])[3] == "COOLDOWN" and after([*errors(5), (70.0, True)])[3] == "HEALTHY" and after([*errors(5), (70.0, False)])[:4] == (1, 0, 6, "HEALTHY")
