@@ -8,17 +8,19 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from examlake.llm.common import partitions, scratch
+from examlake.llm.common import partitions, scratch, stored
 
 #: A file is closed with the record that brings it to this many compressed bytes.
 ROLL_BYTES = 16 << 20
-#: Cells of the id histogram from which shard borders are taken, and the payload bytes of a shard.
-CELLS, SHARD_BYTES = 4096, 32 << 20
+#: Payload bytes of a shard.
+SHARD_BYTES = 32 << 20
 #: Every record carries this time: reruns give the same bytes.
 DATE = "2024-01-01T00:00:00Z"
 
@@ -28,11 +30,12 @@ def opened(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri if ":/" in uri else f"file://{uri}")
 
 
-def record_id(page_id: int) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'page:{page_id}')}>"
+def record_id(page_id: int, digest: str, copy: int = 0) -> str:
+    """Ids differ by page_id, payload, and place among rows that are alike in both."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'page:{page_id}:{digest}:{copy}')}>"
 
 
-def record(page_id: int, url: str, payload: bytes, digest: str, refers_to: int | None, refers_url: str | None) -> bytes:
+def record(page_id: int, url: str, payload: bytes, digest: str, refers_to: int | None, refers_url: str | None, copy: int = 0) -> bytes:
     """One gzip member: a response with its payload, or a revisit that names the response and carries none.
 
     The profile of a revisit holds its own digest and the length of the full payload, so that a reader needs no other
@@ -42,12 +45,12 @@ def record(page_id: int, url: str, payload: bytes, digest: str, refers_to: int |
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if revisit else http + payload
     head = [
-        ("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", record_id(page_id)), ("WARC-Date", DATE),
+        ("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", record_id(page_id, digest, copy)), ("WARC-Date", DATE),
         ("WARC-Target-URI", "".join(c if c.isprintable() else f"%{ord(c):02X}" for c in url)), ("X-Page-ID", str(page_id)), ("WARC-Payload-Digest", f"sha1:{digest}"),
         ("WARC-Block-Digest", "sha1:" + base64.b32encode(hashlib.sha1(block).digest()).decode()),
     ]
     if revisit:
-        head += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", record_id(refers_to)), ("X-Refers-To-Page-ID", str(refers_to)), ("WARC-Refers-To-Target-URI", "".join(c if c.isprintable() else f"%{ord(c):02X}" for c in refers_url or "")), ("WARC-Truncated", "length")]
+        head += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", record_id(refers_to, digest)), ("X-Refers-To-Page-ID", str(refers_to)), ("WARC-Refers-To-Target-URI", "".join(c if c.isprintable() else f"%{ord(c):02X}" for c in refers_url or "")), ("WARC-Truncated", "length")]
     head += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(block)))]
     raw = b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head).encode() + b"\r\n" + block + b"\r\n\r\n"
     z = zlib.compressobj(6, zlib.DEFLATED, 31)  # a gzip header without time or name: the same bytes on every run
@@ -77,21 +80,30 @@ def records(stream) -> Iterator[tuple[dict[str, str], bytes, bytes]]:
         raise ValueError("the archive ends within a record")
 
 
+def borders(pages: DataFrame) -> np.ndarray:
+    """The least page_id of each shard: ids in order, by running sums of payload bytes, however they are spread.
+
+    The sums are exact, so that borders depend on neither partitions nor sampling. What the driver gets is one number a
+    shard, 8 bytes for SHARD_BYTES of payload.
+    """
+    n = partitions(pages.sparkSession)
+    sizes = pages.groupBy("page_id").agg(F.sum(F.octet_length("payload") + 512).alias("n"))
+    ranged = stored(sizes.repartitionByRange(n, "page_id").withColumn("pid", F.spark_partition_id()), "warc-sizes")
+    sums = ranged.groupBy("pid").agg(F.sum("n").alias("n")).withColumn("before", F.sum("n").over(Window.orderBy("pid")) - F.col("n")).drop("n")  # one row a partition
+    inside = F.sum("n").over(Window.partitionBy("pid").orderBy("page_id")) - F.col("n")
+    at = ranged.withColumn("inside", inside).join(F.broadcast(sums), "pid").withColumn("shard", F.floor((F.col("before") + F.col("inside")) / SHARD_BYTES))
+    return np.sort(at.groupBy("shard").agg(F.min("page_id").alias("first")).toPandas()["first"].to_numpy(np.int64))
+
+
 def shard_column(pages: DataFrame) -> Column:
-    """A shard number, ascending with page_id: borders come from an exact histogram of payload bytes over
-    id cells, so that they don't depend on partitions or on sampling. A cell's ids always share a shard; a shard that
-    is larger for that just rolls more files."""
-    lo, hi = pages.agg(F.min("page_id"), F.max("page_id")).first()
-    if lo is None:
-        return F.lit(0)
-    width = (hi - lo) // CELLS + 1
-    cell = F.floor((F.col("page_id") - F.lit(lo)) / F.lit(width)).cast("int")
-    sizes = pages.groupBy(cell.alias("cell")).agg(F.sum(F.octet_length("payload") + 512).alias("n")).toPandas().sort_values("cell")  # CELLS rows at most
-    shard_of = ((sizes["n"].cumsum() - sizes["n"]) // SHARD_BYTES).astype(int).tolist()
-    codes = [0] * CELLS
-    for c, s in zip(sizes["cell"].tolist(), shard_of, strict=True):
-        codes[c] = s
-    return F.element_at(F.array(*map(F.lit, codes)), cell + 1)
+    """A shard number, ascending with page_id; a page's rows always share a shard."""
+    first = borders(pages)
+
+    @F.pandas_udf("int")
+    def shard(ids: pd.Series) -> pd.Series:
+        return pd.Series(np.maximum(np.searchsorted(first, ids.to_numpy(np.int64), side="right") - 1, 0).astype(np.int32))
+
+    return shard("page_id")
 
 
 def revisits(pages: DataFrame) -> DataFrame:
@@ -110,10 +122,14 @@ MANIFEST = "shard int, part int, temporary string, name string, n_records long,
 def write(pages: DataFrame, folder: str) -> DataFrame:
     """Writes pages (page_id, url, html) as folder/part-SSSSS-NNNN.warc.gz; returns the manifest (folder/manifest).
 
+    Shards are dealt to tasks in turn, whole: each task has as many as the next. A shard's records are sorted by page_id,
+    and then by digest and url.
+
     Tasks write under names of their own attempt; the manifest lists those of the attempts that counted, a second job
     moves them to their final names, where a repeated move finds its work done. Files of lost attempts stay under
     temporary/ and are never read. Null html counts as empty, a null url as ''; rows without page_id are left out; rows
-    that repeat a page_id are all written. Extra columns are ignored.
+    that repeat a page_id are all written, under record ids of their own. Extra columns are ignored; no rows give an
+    empty manifest.
     """
     spark = pages.sparkSession
     flat = pages.where("page_id is not null").select(F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
@@ -123,7 +139,8 @@ def write(pages: DataFrame, folder: str) -> DataFrame:
     notes = keys.select("page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), "digest", "refers_to", "refers_url")
     bare = flat.select("*", F.lit(None).cast("long").alias("refers_to"), F.lit(None).cast("string").alias("refers_url"))
     marked = bare.unionByName(notes).withColumn("shard", shard_column(flat))
-    ordered = marked.repartition(partitions(spark), "shard").sortWithinPartitions("shard", "page_id", "digest", F.col("payload").isNotNull(), "url")
+    n = partitions(spark)
+    ordered = marked.repartitionById(n, F.pmod("shard", F.lit(n))).sortWithinPartitions("shard", "page_id", "digest", F.col("payload").isNotNull(), "url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -132,7 +149,7 @@ def write(pages: DataFrame, folder: str) -> DataFrame:
         tag = f"{task.stageId()}-{task.partitionId()}-{task.attemptNumber()}-{uuid.uuid4().hex}"
         fs, root = opened(folder)
         fs.create_dir(f"{root}/temporary", recursive=True)
-        out, row, sums, part, shard, note = None, None, None, 0, None, {}
+        out, row, sums, part, shard, note, last, copy = None, None, None, 0, None, {}, None, 0
 
         def closed() -> pa.RecordBatch:
             nonlocal out
@@ -156,7 +173,8 @@ def write(pages: DataFrame, folder: str) -> DataFrame:
                     name = f"part-{shard:05d}-{part:04d}.warc.gz"
                     row, sums = {"shard": shard, "part": part, "temporary": f"temporary/{tag}-{name}", "name": name, "n_records": 0, "n_bytes": 0}, hashlib.sha1()
                     out = fs.open_output_stream(f"{root}/{row['temporary']}", compression=None)
-                data = record(r["page_id"], r["url"], r["payload"], base64.b32encode(r["digest"]).decode(), r["refers_to"], r["refers_url"])
+                last, copy = (r["page_id"], r["digest"]), copy + 1 if last == (r["page_id"], r["digest"]) else 0
+                data = record(r["page_id"], r["url"], r["payload"], base64.b32encode(r["digest"]).decode(), r["refers_to"], r["refers_url"], copy)
                 out.write(data)
                 sums.update(data)
                 row["n_records"] += 1
