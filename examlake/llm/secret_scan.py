@@ -16,6 +16,19 @@ from examlake.llm.common import let
 WIDEST, CLASS = 256, 4
 
 
+def _deep(nodes) -> bool:
+    """Whether something longer than a character repeats without bound, which the JVM's matcher does by recursion."""
+    for op, arg in nodes:
+        if op in (sre.MAX_REPEAT, sre.MIN_REPEAT, sre.POSSESSIVE_REPEAT):
+            _, high, body = arg
+            lone = len(body) == 1 and body[0][0] in (sre.LITERAL, sre.NOT_LITERAL, sre.IN, sre.ANY)
+            if (high is sre.MAXREPEAT and not lone) or _deep(body):
+                return True
+        elif op is sre.BRANCH and any(map(_deep, arg[1])) or op is sre.SUBPATTERN and _deep(arg[-1]):
+            return True
+    return False
+
+
 @dataclass(frozen=True)
 class Rule:
     """Matches of pattern whose group is least characters or longer; base rules give the digest's spans."""
@@ -27,6 +40,10 @@ class Rule:
     any_case: bool = False
     base: bool = False
 
+    def __post_init__(self) -> None:
+        if _deep(_parser.parse(self.pattern)):
+            raise ValueError(f"{self.kind}: a group repeated without bound takes a stack frame each time; use a class")
+
     @property
     def regex(self) -> str:
         return ("(?i)" if self.any_case else "") + self.pattern
@@ -37,7 +54,7 @@ RULES = (
     Rule("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12, True, True),
     Rule("access", r"AKIA[A-Z0-9]{14,}", 0, 18, False, True),
     Rule("hex", r"[0-9a-f]{16,}", 0, 16, False, True),
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN (?:[A-Z ]* )?PRIVATE KEY-----"),
     Rule("forge_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
 )
 
@@ -162,7 +179,8 @@ def joined(spans: Column) -> Column:
 
 
 def digest(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Per document: counts of the base kinds, SHA-256 of their spans, and all spans as text."""
+    """Per row: counts of the base kinds, SHA-256 of their spans, and all spans as text; rows as scan() has them, a null
+    or empty text has no spans."""
     base = [r.kind for r in rules if r.base]
     found = scan(docs, rules)
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
