@@ -18,43 +18,55 @@ def tokenizer_path(name: str) -> str:
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document; rows as simhash.near_duplicates() has them: null and blank texts have
+    fingerprint zero, ids may repeat or be null, an empty table gives none."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and checksums of every document's ids, read back from its files; rows as huffman.round_trip() has them."""
     return huffman.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1)
 
 
 def op3_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and its edited text; rows as multiset_hash.compared() has them."""
     return multiset_hash.compared(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, read back from the archives; rows as warc.write() has them."""
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every text; rows as secret_scan.scan() has them."""
     return secret_scan.digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded and decoded; rows as pieces.encoded() has them."""
     return pieces.digest(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every text; rows as quality.scored() has them."""
     return quality.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mixture takes of every document; rows that repeat an id within a source are one document, null
+    and blank texts are of size 0, an empty table gives none."""
     return mixing.Plan(table(spark, sf_dir, "documents")).taken()
 
 
 def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best of every query vector; rows as topk.top_k() has them."""
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What line dedup takes from every text; rows as linededup.deduplicated() has them."""
     return linededup.digest(table(spark, sf_dir, "documents"))
 
 

@@ -120,6 +120,11 @@ def admitted(buckets: DataFrame, ready: DataFrame, parts: int) -> DataFrame:
 def top_k(vectors: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """The k best of all other vectors for each vector whose id is divisible by every: (query_id, rank, vec_id, score).
 
+    Vectors that are null or hold null or non-finite components, and rows without an id, take no part; rows that repeat
+    an id are each a vector, and none of them is compared with its own id; scores beyond a long are held to its range,
+    and tie there. Extra columns are ignored, whatever their names; fewer than k others give all of them, an empty
+    table gives none.
+
     Only vectors of the query's dimension are compared. Each query's floor is its k-th score within the bucket of
     longest vectors; pairs of query block and bucket that no product can lift to the floor are never joined.
     """
