@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -10,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from examlake.llm.common import slices
+
 #: Labelled rows that are fitted, at most: those least by hash. Bins of a feature, and of each side of a pair.
 SAMPLE, BINS, PAIR_BINS = 20_000, 32, 8
 ROUNDS, RATE, PAIRS, LEAST_LEAF = 150, 0.15, 6, 20
@@ -134,40 +137,47 @@ def held_out(doc_id) -> F.Column:
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Fits labels.quality on at most sample labelled rows that are not held out, the least by hash of doc_id. Only
-    the text is seen; rows with a null label or id don't count."""
-    known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", F.col("quality").alias("y"))
+    the text is seen; rows with a null label or id don't count. An id counts once: with its larger label, and the text
+    that sorts first. Without labelled rows, or with one label only, the model is constant."""
+    known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("quality").cast("int").alias("y"))
     some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select("doc_id", "text").join(some, "doc_id")
+    # Broadcast: sample rows of two numbers at most.
+    rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for t in batches:
             yield pd.DataFrame({"doc_id": t["doc_id"], "y": t["y"], "x": [features(x) for x in t["text"]]})
 
-    got = rows.mapInPandas(run, "doc_id long, y int, x array<double>").toPandas().sort_values(["doc_id", "y"])  # sample rows at most
+    got = rows.mapInPandas(run, "doc_id long, y int, x array<double>").toPandas().sort_values("doc_id")  # sample rows at most
     x = np.array(got["x"].tolist(), float).reshape(-1, len(FEATURES))
     return fit(x, got["y"].to_numpy(float))
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with score (double, 0 to 1, higher: better); all columns stay, null and empty texts are scored too."""
+def scored(docs: DataFrame, model: Model, score: str = "quality_score") -> DataFrame:
+    """docs with a last column, named score (double, 0 to 1, higher: better), in place of one of that name.
+
+    Every row is scored by itself: null and empty texts, repeated and null ids too; all other columns stay."""
+    docs = docs.drop(score)
     names, text_at = docs.columns, docs.columns.index("text")
 
     def run(batches):
         import pyarrow as pa
 
-        for b in batches:
+        for b in slices(batches):
             x = np.array([features(t) for t in b.column(text_at).to_pylist()], float).reshape(-1, len(FEATURES))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(model.score(x))], names=[*names, "quality_score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(model.score(x))], names=[*names, score])
 
-    schema = docs.select("*", F.lit(0.0).alias("quality_score")).schema
+    schema = docs.select("*", F.lit(0.0).alias(score)).schema
     return docs.mapInArrow(run, schema)
 
 
 def classified(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, held_out, score, predicted) of every row, as scored() has them; held_out is null where doc_id is."""
     out = scored(docs.select("doc_id", "text"), train(docs, labels))
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("quality_score").alias("score"), (F.col("quality_score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def kept(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that the classifier accepts, with docs' columns."""
-    return scored(docs, train(docs, labels)).where(F.col("quality_score") >= THRESHOLD).select(docs.columns)
+    """The rows of docs that the classifier accepts, with docs' columns, whatever their names; rows as in scored()."""
+    score = f"score_{uuid.uuid4().hex}"
+    return scored(docs, train(docs, labels), score).where(F.col(score) >= THRESHOLD).drop(score)
