@@ -92,14 +92,15 @@ def remembered_export(spark, d):
 @query("""WITH i AS (SELECT c_nationkey AS subject_id, c_name || '.png' AS image FROM customer), m AS (SELECT c_nationkey AS subject_id, c_name || '.png' AS image FROM customer WHERE c_custkey % 9 <> 0 UNION ALL SELECT s_nationkey, s_name FROM supplier),
           q AS (SELECT subject_id, count(*) AS questions FROM i GROUP BY 1), f AS (SELECT subject_id, count(*) AS files FROM m GROUP BY 1),
           c AS (SELECT n_nationkey AS subject_id, coalesce(questions, 0) AS questions, coalesce(files, 0) AS files FROM nation LEFT JOIN q ON n_nationkey = q.subject_id LEFT JOIN f ON n_nationkey = f.subject_id)
-          SELECT subject_id, 'question_image_count_mismatch' AS error, abs(questions - files) AS n FROM c WHERE questions <> files
+          SELECT subject_id::VARCHAR AS subject_id, 'question_image_count_mismatch' AS error, abs(questions - files) AS n FROM c WHERE questions <> files
           UNION ALL SELECT subject_id, 'missing_referenced_images', count(*) FROM i WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.subject_id = i.subject_id AND m.image = i.image) GROUP BY 1
           UNION ALL SELECT subject_id, 'extra_unreferenced_images', count(*) FROM m WHERE NOT EXISTS (SELECT 1 FROM i WHERE m.subject_id = i.subject_id AND m.image = i.image) GROUP BY 1
           UNION ALL SELECT NULL, 'total_question_count_mismatch', sum(questions)::BIGINT FROM c HAVING sum(questions) <> 1000 UNION ALL SELECT NULL, 'total_image_count_mismatch', sum(files)::BIGINT FROM c HAVING sum(files) <> 1000""")
 def export_gate(spark, d):
     items = load(spark, d, "customer").select(F.col("c_nationkey").alias("subject_id"), F.concat("c_name", F.lit(".png")).alias("image"), "c_custkey")
     files = items.where("c_custkey % 9 <> 0").drop("c_custkey").unionByName(load(spark, d, "supplier").select(F.col("s_nationkey").alias("subject_id"), F.col("s_name").alias("image")))
-    return store.export_errors(items.drop("c_custkey"), files, load(spark, d, "nation").select(F.col("n_nationkey").alias("subject_id")), 1000)
+    errors = store.export_errors(items.drop("c_custkey"), files, load(spark, d, "nation").select(F.col("n_nationkey").alias("subject_id")), 1000)
+    return errors.withColumn("subject_id", F.col("subject_id").cast("string"))
 
 
 @query("""SELECT c_custkey, c_custkey % 11 <> 0 AND c_nationkey < 20 AS exported, CASE WHEN c_custkey % 11 = 0 THEN 'invalid question_json' WHEN c_nationkey >= 20 THEN 'excluded_subject:' || c_nationkey
