@@ -14,19 +14,27 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from examlake.llm.common import partitions, scratch, stored
+from examlake.llm.common import partitions, scratch, slices, stored
 
-#: Longest code in bits; the decoding table has 2^LIMIT entries.
+#: Longest code in bits, while the symbols fit (longest_code); the decoding table has 2^LIMIT entries.
 LIMIT = 16
 #: Ids in a block (a block closes with the document that reaches it), and ids between two checkpoints.
 BLOCK_IDS, EVERY = 1 << 18, 128
 
 # ---------------------------------------------------------------- tokenizing
 
-#: Texts of these characters only: lower-casing and cutting at blanks and where a stop follows a letter commute
+#: Texts of these characters only: lower-casing and cutting at blanks and where other marks follow a letter commute
 #: with the tokenizer.
 PLAIN = r"^[\t-\r -&(-~À-ÖØ-öø-ÿ]*$"
-STOP = r"([a-zß-öø-ÿ])([.,])(\s|$)"
+STOP = r"([a-zß-öø-ÿ])([^a-zß-öø-ÿ0-9\s]+)"
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: printable ones for themselves, the others in
+    order from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 #: Chunks remembered by one worker; beyond it the memory starts anew.
 REMEMBERED = 700_000
 
@@ -43,7 +51,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.by_words = '"end_of_word_suffix":"</w>"' in self.tok.to_str(pretty=False) and '"type":"Lowercase"' in self.tok.to_str(pretty=False)
+        self.largest = max(self.tok.get_vocab().values(), default=0)
+        known = self.tok.to_str(pretty=False)
+        self.by_words = all(part in known for part in ('"end_of_word_suffix":"</w>"', '"type":"Lowercase"', '"type":"ByteLevel"'))
+        self.letters = byte_letters()
         self.forget()
 
     def forget(self) -> None:
@@ -70,8 +81,9 @@ class Encoder:
     def _codes(self, chunks: list[str]) -> np.ndarray:
         new = [c for c in chunks if c not in self.code]
         model = self.tok.model
-        # The model takes a run of plain letters as it is; the library cuts and maps any other chunk first.
-        self._learn(new, [[t.id for t in model.tokenize(c)] if c.isascii() and c.isalpha() else self._ids(c).tolist() for c in new])
+        # The model takes a run of letters by their bytes; the library cuts any other chunk first.
+        as_bytes = lambda c: c if c.isascii() else c.encode().decode("latin-1").translate(self.letters)
+        self._learn(new, [[t.id for t in model.tokenize(as_bytes(c))] if c.isalpha() else self._ids(c).tolist() for c in new])
         return np.fromiter(map(self.code.__getitem__, chunks), np.int64, len(chunks))
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
@@ -80,7 +92,7 @@ class Encoder:
         plain = pc.and_(pc.match_substring_regex(texts, PLAIN), pc.invert(pc.match_substring(texts, "<|")))
         plain = plain.to_numpy(zero_copy_only=False) & self.by_words
         easy = texts.filter(pa.array(plain))
-        lists = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(easy), STOP, r"\1 \2\3"))
+        lists = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(easy), STOP, r"\1 \2"))
         coded = lists.flatten().dictionary_encode()
         codes = self._codes(coded.dictionary.to_pylist())[coded.indices.to_numpy()] if len(coded) else np.zeros(0, np.int64)
         cuts = lists.offsets.to_numpy()
@@ -88,14 +100,10 @@ class Encoder:
         return [next(done) if p else self._ids(x.as_py()) for p, x in zip(plain, texts, strict=True)]
 
 
-#: Ids on their way to the files. LIMIT leaves room for 2^16 symbols, so 16 bits hold any id that has a code.
-WIDTH = "<u2"
-
-
-def narrow(ids: np.ndarray) -> np.ndarray:
-    if len(ids) and ids.max() > 0xFFFF:
-        raise ValueError("an id exceeds 65535")
-    return ids.astype(WIDTH)
+def width(tokenizer_file: str, end_id: int | None = None) -> str:
+    """The integers that hold ids on their way to the files: 16 bits where the vocabulary allows."""
+    largest = max([encoder(tokenizer_file).largest, *([] if end_id is None else [end_id])])
+    return "<u2" if largest <= 0xFFFF else "<u4"
 
 
 def spans(at: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -111,16 +119,15 @@ def encoder(path: str) -> Encoder:
 
 
 def token_ids(docs: DataFrame, tokenizer_file: str, end_id: int | None = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids) per document: ids as little-endian unsigned integers of WIDTH; null texts count as empty."""
+    """(id, ids) per document: ids as little-endian unsigned integers of width(); null texts count as empty."""
+    kind = width(tokenizer_file, end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([] if end_id is None else [end_id], np.uint32)
-        for b in batches:
-            for i in range(0, b.num_rows, 1024):
-                part = b.slice(i, 1024)
-                ids = encoder(tokenizer_file).encode(pc.fill_null(part.column(1), ""))
-                blobs = [narrow(np.concatenate([x, end])).tobytes() for x in ids]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(blobs, pa.binary())], names=["id", "ids"])
+        for b in slices(batches, 2048):
+            ids = encoder(tokenizer_file).encode(pc.fill_null(b.column(1), ""))
+            blobs = [np.concatenate([x, end]).astype(kind).tobytes() for x in ids]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(blobs, pa.binary())], names=["id", "ids"])
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "id long, ids binary")
 
@@ -230,14 +237,14 @@ def decode_block(data: bytes, n: int, marks: np.ndarray, table: np.ndarray, ever
 # ---------------------------------------------------------------- files
 
 
-def symbol_counts(tokens: DataFrame) -> np.ndarray:
+def symbol_counts(tokens: DataFrame, kind: str) -> np.ndarray:
     """Global counts by id; each task counts into one array, and rows for ids are summed by Spark."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1, np.int64)
         for b in batches:
             for x in b.column(0):
-                got = np.bincount(np.frombuffer(x.as_buffer(), WIDTH))
+                got = np.bincount(np.frombuffer(x.as_buffer(), kind))
                 if len(got) > len(total):
                     total = np.pad(total, (0, len(got) - len(total)))
                 total[: len(got)] += got
@@ -253,15 +260,23 @@ def symbol_counts(tokens: DataFrame) -> np.ndarray:
 BLOCKS = "shard int, block int, first_id long, doc_ids binary, doc_sizes binary, n_ids long, marks binary, bits binary"
 
 
-def write(tokens: DataFrame, path: str, block_ids: int = BLOCK_IDS, every: int = EVERY) -> None:
+def longest_code(counts: np.ndarray) -> int:
+    """Bits that code_lengths may use: LIMIT, or one more than the symbols need."""
+    return max(LIMIT, int(max(0, np.count_nonzero(counts) - 1)).bit_length() + 1) if np.count_nonzero(counts) > 1 << LIMIT else LIMIT
+
+
+def write(tokens: DataFrame, path: str, block_ids: int = BLOCK_IDS, every: int = EVERY, kind: str = "<u2") -> None:
     """Writes (id, ids) in ascending id order: blocks/ (Parquet, range-sorted shards of blocks) and code/ (lengths).
 
     A block holds whole documents: their ids and sizes, the coded bits, and the bit offset of every every-th id, so
-    that any block is read alone and from any checkpoint. Rows without an id are left out; equal ids stay side by side.
+    that any block is read alone and from any checkpoint. Rows without an id are left out; equal ids stay side by side,
+    in the order of their token ids' bytes. kind: the integers in ids.
     """
     spark = tokens.sparkSession
-    lengths = code_lengths(symbol_counts(tokens))
-    spark.createDataFrame([(bytearray(lengths.tobytes()), every, LIMIT)], "lengths binary, every int, longest int").coalesce(1).write.parquet(f"{path}/code")
+    counts = symbol_counts(tokens, kind)
+    limit = longest_code(counts)
+    lengths = code_lengths(counts, limit)
+    spark.createDataFrame([(bytearray(lengths.tobytes()), every, limit)], "lengths binary, every int, longest int").coalesce(1).write.parquet(f"{path}/code")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -285,7 +300,7 @@ def write(tokens: DataFrame, path: str, block_ids: int = BLOCK_IDS, every: int =
         for b in batches:
             for i, x in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 docs.append(i)
-                held.append(np.frombuffer(x.as_py(), WIDTH))
+                held.append(np.frombuffer(x.as_py(), kind))
                 size += len(held[-1])
                 if size >= block_ids:
                     yield closed()
@@ -293,13 +308,16 @@ def write(tokens: DataFrame, path: str, block_ids: int = BLOCK_IDS, every: int =
         if docs:
             yield closed()
 
-    tokens.where("id is not null").repartitionByRange(partitions(spark), "id").sortWithinPartitions("id").mapInArrow(run, BLOCKS).write.option("compression", "none").parquet(f"{path}/blocks")
+    tokens.where("id is not null").repartitionByRange(partitions(spark), "id").sortWithinPartitions("id", "ids").mapInArrow(run, BLOCKS).write.option("compression", "none").parquet(f"{path}/blocks")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """The documents of written files: (id, start, n_ids, ids); start: the ids of all documents before it."""
+    """The documents of written files: (id, start, n_ids, ids); start: the ids of all documents before it.
+
+    One row per written document, also where ids repeat; files of no documents give no rows."""
     head = spark.read.parquet(f"{path}/code").first()
     lengths, every = np.frombuffer(bytes(head["lengths"]), np.uint8), head["every"]
+    limit = head["longest"]
     blocks = spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
     # One row per shard with its total, and one per block: the window over shards is as short as the list of files.
     shards = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n")).selectExpr("shard", "sum(n) over (order by shard) - n as before")
@@ -307,10 +325,10 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder.cache_clear()
-        table = decode_table(lengths)
+        table = decode_table(lengths, limit)
         for b in batches:
             for r in (b.slice(i, 1).to_pylist()[0] for i in range(b.num_rows)):
-                ids = decode_block(r["bits"], r["n_ids"], np.frombuffer(r["marks"], "<u4"), table, every)
+                ids = decode_block(r["bits"], r["n_ids"], np.frombuffer(r["marks"], "<u4"), table, every, limit)
                 sizes = np.frombuffer(r["doc_sizes"], "<i8")
                 ends = np.cumsum(sizes)
                 blobs = [ids[e - n : e].astype("<u4").tobytes() for e, n in zip(ends, sizes, strict=True)]
@@ -320,6 +338,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def digests(read_back: DataFrame) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of each row of read()."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             crc = pa.array([zlib.crc32(x.as_buffer()) for x in b.column("ids")], pa.int64())
@@ -331,9 +351,10 @@ def digests(read_back: DataFrame) -> DataFrame:
 def round_trip(docs: DataFrame, tokenizer_file: str, end_id: int | None = 1) -> DataFrame:
     """Encodes, writes in the shared folder, reads back: (doc_id, start, n_tokens, ids_crc32) from the files.
 
-    Null texts count as empty, an empty table gives empty files and no rows; extra columns are ignored.
+    Null texts count as empty, an empty table gives empty files and no rows; rows without an id are left out, and rows
+    that repeat one follow each other; extra columns are ignored.
     """
     spark = docs.sparkSession
     path = scratch(spark, "tokens")
-    write(stored(token_ids(docs, tokenizer_file, end_id), "token-ids"), path)
+    write(stored(token_ids(docs, tokenizer_file, end_id), "token-ids"), path, kind=width(tokenizer_file, end_id))
     return digests(read(spark, path))
