@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from examlake.llm import linededup, mixing, multiset_hash, pieces, quality, queries, secret_scan
+from examlake.llm import huffman, linededup, mixing, multiset_hash, pieces, quality, queries, secret_scan
 from examlake.llm.common import table
 from examlake.llm.queries import tokenizer_path
 
@@ -248,3 +248,14 @@ def test_line_dedup_over_all_pairs(spark):
         missed = runs50[i] - got[i]
         assert len(missed) <= 2 * (linededup.WINDOW - 1) and (not runs50[i] or got[i] & runs50[i])
     assert got[240] == set(range(len(WORD.findall(docs[7])))) and not got[243]
+
+
+def test_token_files_of_a_large_vocabulary(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    ids = {i: rng.integers(0, 90_000, 5000, np.uint32) if i else np.arange(90_000, dtype=np.uint32) for i in range(6)}
+    rows = [(i % 3, bytearray(x.astype("<u4").tobytes())) for i, x in ids.items()]  # each id of a document comes twice
+    huffman.write(spark.createDataFrame(rows, "id long, ids binary").repartition(3), str(tmp_path / "t"), block_ids=20_000, kind="<u4")
+    got = sorted((r["start"], r["id"], bytes(r["ids"])) for r in huffman.read(spark, str(tmp_path / "t")).collect())
+    assert sorted((i, x) for _, i, x in got) == sorted((i, bytes(x)) for i, x in rows)
+    assert [s for s, _, _ in got] == np.cumsum([0, *(len(x) // 4 for _, _, x in got)]).tolist()[:-1]
+    assert huffman.longest_code(np.ones(90_000)) == 18 and huffman.longest_code(np.ones(100)) == huffman.LIMIT
