@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from examlake.llm.common import let, partitions, scratch
+from examlake.llm.common import let, partitions, scratch, slices
 
 SPACE = "▁"
 #: Words are cut so that no piece reaches over a border. One longer than LONGEST is cut again at every such place; what
@@ -29,7 +29,7 @@ SPACE = "▁"
 #: goes to the library.
 LONGEST = 60
 #: Characters of text that share a table of words, and partitions of input whose blocks are folded together.
-BLOCK, SLICE = 1 << 24, 512
+BLOCK, SLICE = 1 << 23, 512
 
 
 @dataclass(frozen=True)
@@ -262,7 +262,7 @@ def tables(docs: DataFrame, path: str, buckets: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(k, block)), pa.array((task // SLICE) * buckets + there[i : i + k].astype(np.int64)), pa.array(there[i : i + k]), pa.array(rows[i : i + k], pa.string()), pa.nulls(k, pa.binary())], schema=schema)
             yield pa.RecordBatch.from_arrays([pa.array([block]), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.string()), pa.array([blob])], schema=schema)
 
-        for b in batches:
+        for b in slices(batches):
             for key, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 t = text.as_py()
                 if size and size + len(t) > BLOCK:
