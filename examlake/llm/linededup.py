@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from examlake.llm.common import stored
+from examlake.llm.common import slices, stored
 from examlake.llm.mixing import mixed
 
 LINE, WINDOW = 30, 21
@@ -114,20 +114,19 @@ def selected(docs: DataFrame) -> DataFrame:
     """(h, id, pos, n) of the selected units, n words from pos on; docs: (id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for k in range(0, b.num_rows, 256):
-                ids, hs, ps, ns = [], [], [], []
-                for i, t in zip(b.column(0).slice(k, 256).to_pylist(), b.column(1).slice(k, 256), strict=True):
-                    data = t.as_buffer().to_pybytes() if t.is_valid else b""
-                    starts, _, h = words(data)
-                    each = lines(h)
-                    p = winnowed(each)
-                    first, end = written(data, starts)
-                    ids.append(np.full(len(p) + len(first), i, np.int64))
-                    hs += [each[p], units(h, first, end)]
-                    ps += [p, first]
-                    ns += [np.full(len(p), LINE), end - first]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.concatenate(ids)), pa.array(np.concatenate(ps).astype(np.int32)), pa.array(np.concatenate(ns).astype(np.int16))], names=["h", "id", "pos", "n"])
+        for b in slices(batches, 256):
+            ids, hs, ps, ns = [], [], [], []
+            for i, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                data = t.as_buffer().to_pybytes() if t.is_valid else b""
+                starts, _, h = words(data)
+                each = lines(h)
+                p = winnowed(each)
+                first, end = written(data, starts)
+                ids.append(np.full(len(p) + len(first), i, np.int64))
+                hs += [each[p], units(h, first, end)]
+                ps += [p, first]
+                ns += [np.full(len(p), LINE), end - first]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.concatenate(ids)), pa.array(np.concatenate(ps).astype(np.int32)), pa.array(np.concatenate(ns).astype(np.int16))], names=["h", "id", "pos", "n"])
 
     return docs.mapInArrow(run, "h long, id long, pos int, n short")
 
@@ -156,7 +155,7 @@ def contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32()), ("before", pa.binary()), ("after", pa.binary()), ("check", pa.int64())]))
-        for b in batches:
+        for b in slices(batches):
             for i in range(b.num_rows):
                 h = words((b.column(1)[i].as_py() or "").encode("utf-8", "surrogatepass"))[2]
                 out = [{**r, "before": h[max(0, r["first"] - WINDOW) : r["first"]].tobytes(), "after": h[r["end"] : r["end"] + WINDOW].tobytes(), "check": checked(h, r["first"], r["end"])} for r in b.column(2)[i].as_py()]
@@ -213,7 +212,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-        for b in batches:
+        for b in slices(batches):
             texts, gone = b.column(at).to_pylist(), []
             for i, runs_ in enumerate(b.column(len(names)).to_pylist()):
                 if not runs_ or texts[i] is None:
@@ -243,7 +242,7 @@ def digest(docs: DataFrame) -> DataFrame:
     out = deduplicated(docs.select("doc_id", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             gone = b.column(2).to_pylist()
             ranges = [",".join(f"{g['start']}:{g['end']}" for g in r) for r in gone]
             sums = [sum(g["end"] - g["start"] for g in r) for r in gone]
