@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from examlake.llm.common import let, partitions
 
 #: Exact part: LANES sums modulo 2^32 of hashes of whole paragraphs. Near part: NEAR groups of 64 counts modulo 2^16,
-#: to which every piece of up to PIECE words of a paragraph adds one count a group. All as fixed-width hex.
-LANES, NEAR, PIECE = 16, 2, 8
+#: to which every piece of a paragraph adds one count a group. All as fixed-width hex. A piece ends with a word that
+#: ends in one of BORDER, or after PIECE words: content sets its borders, so that a word put in or taken out changes
+#: the pieces around it alone.
+LANES, NEAR, PIECE, BORDER = 16, 2, 16, "dgkmpr.!?"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
-PIECES = rf"(?:[^\x20\x09-\x0D]++[\x20\x09\x0B-\x0D]*+){{1,{PIECE}}}"
+PIECES = rf"(?:[^\x20\x09-\x0D]++(?<![{BORDER}])[\x20\x09\x0B-\x0D]++){{0,{PIECE - 1}}}[^\x20\x09-\x0D]++[\x20\x09\x0B-\x0D]*+"
 EXACT_DIGITS, COUNTS = LANES * 8, NEAR * 64
 
 
@@ -139,7 +141,9 @@ def _both(text: Column) -> Column:
 
 
 def compared(docs: DataFrame) -> DataFrame:
-    """Fingerprints of every text and of its edited text, with their likeness, and that to the next document."""
+    """Fingerprints of every text and of its edited text, with their likeness, and that to the next document.
+
+    Nulls, repeated ids, ties and extra columns as in edited(); a single document is its own next; no rows give none."""
     out = edited(docs).withColumn("changed", _both(F.col("edited_text")))
     col = lambda side, name: F.col(f"{side}.{name}")
     value = lambda o: alike(_dot(col("own", "counts"), col(o, "counts")), col("own", "n"), col(o, "n"), col("own", "norm") + col(o, "norm"))
