@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from examlake.llm import huffman, linededup, mixing, multiset_hash, pieces, quality, secret_scan, simhash, topk, warc
+from examlake.llm import huffman, importance, linededup, mixing, multiset_hash, pieces, quality, secret_scan, simhash, topk, warc
 from examlake.llm.common import table
 
 
@@ -70,8 +70,13 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.digest(table(spark, sf_dir, "documents"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every text; rows as importance.resampled() has them."""
+    return importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_token_files, op3_multiset_hash, op4_warc, op5_secrets, op6_sentencepiece, op7_quality, op8_mixing, op9_top_k, op10_line_dedup)
+    f.__name__: f for f in (op1_simhash, op2_token_files, op3_multiset_hash, op4_warc, op5_secrets, op6_sentencepiece, op7_quality, op8_mixing, op9_top_k, op10_line_dedup, op11_importance)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -91,4 +96,22 @@ ORACLE_SQL: dict[str, str] = {
                    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
              r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op11_importance": r"""
+        WITH ws AS (SELECT 's' AS side, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+                    UNION ALL SELECT 't', NULL, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+             f AS MATERIALIZED (SELECT side, doc_id, unnest(w) AS word FROM ws),
+             crc AS MATERIALIZED (SELECT list(c ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: xor(c >> 1, (c & 1) * 3988292384)) AS c FROM range(256) r(i))),
+             hexed AS (SELECT word, hex(encode(word)) AS hx FROM (SELECT DISTINCT word FROM f)),
+             b AS MATERIALIZED (SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, length(hx) // 2), lambda i: ('0x' || substr(hx, 1 + 2 * i, 2))::BIGINT)),
+                        lambda c, x: xor(c >> 8, tab[1 + (xor(c, x) & 255)])), 4294967295) % 10000 AS bucket FROM hexed, crc),
+             n AS (SELECT bucket, count(*) FILTER (side = 's') AS s, count(*) FILTER (side = 't') AS t FROM f JOIN b USING (word) GROUP BY 1),
+             g AS (SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * (SELECT sum(s) + 10000 FROM n)) / ((s + 1)::DOUBLE * (SELECT sum(t) + 10000 FROM n))))::BIGINT AS gain FROM n),
+             sums AS (SELECT doc_id, count(*) AS n_features, sum(gain)::BIGINT AS gain FROM f JOIN b USING (word) JOIN g USING (bucket) WHERE side = 's' GROUP BY 1),
+             w AS (SELECT d.doc_id, coalesce(n_features, 0) AS n_features, coalesce((gain - ((gain % n_features) + n_features) % n_features) // n_features, 0) AS weight,
+                          ('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::BIGINT AS h FROM documents d LEFT JOIN sums USING (doc_id)),
+             sc AS (SELECT *, (weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296::DOUBLE))))::BIGINT AS score FROM w),
+             r AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place, (10 * count(*) OVER (PARTITION BY n_features >= 20)) // 100 AS most FROM sc)
+        SELECT doc_id, n_features::BIGINT AS n_features, weight::BIGINT AS weight, score, CASE WHEN n_features >= 20 AND place <= most THEN place END AS rank FROM r""",
 }
