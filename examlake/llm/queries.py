@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from examlake.llm import huffman, importance, linededup, mixing, multiset_hash, pieces, quality, secret_scan, simhash, topk, warc
+from examlake.llm import centroids, huffman, importance, linededup, mixing, multiset_hash, pieces, quality, secret_scan, simhash, topk, warc
 from examlake.llm.common import table
 
 
@@ -75,8 +75,33 @@ def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).withColumnRenamed("id", "doc_id")
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster and distance of every kept vector; rows as centroids.cluster() has them."""
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def lloyd_sql(rounds: int = 10, k: int = 8, seed: int = 3) -> str:
+    """The rounds one after another, each a pair of steps: nearest centroids, then their members' floored means."""
+    near = """n{i} AS MATERIALIZED (SELECT vec_id, cluster, d FROM (
+                SELECT v.vec_id, c.cluster, list_sum(list_transform(list_zip(v.e, c.e), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d,
+                       row_number() OVER (PARTITION BY v.vec_id ORDER BY d, c.cluster) AS r FROM v, c{i} c) WHERE r = 1)"""
+    mean = """c{j} AS MATERIALIZED (SELECT c.cluster, coalesce(m.e, c.e) AS e FROM c{i} c LEFT JOIN (
+                SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY i) AS e FROM (
+                  SELECT cluster, i, sum(e[i])::BIGINT AS s, count(*) AS n FROM n{i} JOIN v USING (vec_id), range(1, 65) t(i) GROUP BY 1, 2) GROUP BY 1) m USING (cluster))"""
+    steps = ",\n".join(near.format(i=i) + ",\n" + mean.format(i=i, j=i + 1) for i in range(rounds))
+    return f"""
+        WITH v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+                   WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+             c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('{seed}:' || vec_id)) - 1 AS cluster, e FROM v ORDER BY cluster LIMIT {k}),
+             {steps},
+             {near.format(i=rounds)}
+        SELECT vec_id, cluster::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+               sha256(array_to_string(e, ',')) AS centroid_sha256
+        FROM n{rounds} JOIN c{rounds} USING (cluster)"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_token_files, op3_multiset_hash, op4_warc, op5_secrets, op6_sentencepiece, op7_quality, op8_mixing, op9_top_k, op10_line_dedup, op11_importance)
+    f.__name__: f for f in (op1_simhash, op2_token_files, op3_multiset_hash, op4_warc, op5_secrets, op6_sentencepiece, op7_quality, op8_mixing, op9_top_k, op10_line_dedup, op11_importance, op12_centroids)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -114,4 +139,5 @@ ORACLE_SQL: dict[str, str] = {
              sc AS (SELECT *, (weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296::DOUBLE))))::BIGINT AS score FROM w),
              r AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place, (10 * count(*) OVER (PARTITION BY n_features >= 20)) // 100 AS most FROM sc)
         SELECT doc_id, n_features::BIGINT AS n_features, weight::BIGINT AS weight, score, CASE WHEN n_features >= 20 AND place <= most THEN place END AS rank FROM r""",
+    "op12_centroids": lloyd_sql(),
 }
