@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from examlake.llm import centroids, huffman, importance, linededup, mixing, multiset_hash, pieces, quality, secret_scan, simhash, topk, warc
+from examlake.llm import capfilters, centroids, huffman, importance, linededup, mixing, multiset_hash, pieces, quality, secret_scan, simhash, topk, warc
 from examlake.llm.common import table
 
 
@@ -100,8 +100,13 @@ def lloyd_sql(rounds: int = 10, k: int = 8, seed: int = 3) -> str:
         FROM n{rounds} JOIN c{rounds} USING (cluster)"""
 
 
+def op13_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector; rows as capfilters.near_duplicates() has them."""
+    return capfilters.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_token_files, op3_multiset_hash, op4_warc, op5_secrets, op6_sentencepiece, op7_quality, op8_mixing, op9_top_k, op10_line_dedup, op11_importance, op12_centroids)
+    f.__name__: f for f in (op1_simhash, op2_token_files, op3_multiset_hash, op4_warc, op5_secrets, op6_sentencepiece, op7_quality, op8_mixing, op9_top_k, op10_line_dedup, op11_importance, op12_centroids, op13_cap_filters)
 }
 
 ORACLE_SQL: dict[str, str] = {
