@@ -18,6 +18,8 @@ from examlake.llm.common import components, partitions, stored
 SHARED, REPEATS = 16.0, 16
 #: Least chance that a filter of one vector of such a pair is one of the other's: caps are never narrower.
 OVERLAP = 0.25
+#: Directions of a code from which on they are made of two factors; fewer are drawn one by one.
+PLAIN = 4096
 #: Vectors that are far from each other for each one expected in the same filter.
 SPARSE = 8
 #: Vectors of a filter that are compared in one block; larger filters are cut into such parts, each pair of which is a block.
@@ -118,7 +120,7 @@ def code_for(d: int, n: int, cosine: float, shared: float = SHARED, seed: int =
         low, high = (mid, high) if overlap(d, mid, cosine) >= OVERLAP else (low, mid)
     alpha = min(sparse, low)
     wanted = shared / overlap(d, alpha, cosine) / float(cap_share(d, alpha)) / REPEATS
-    factors = 2 if d >= 16 else 1
+    factors = 2 if d >= 16 and wanted > PLAIN else 1
     return Code(d, factors, max(2, int(np.ceil(wanted ** (1 / factors)))), alpha, seed)
 
 

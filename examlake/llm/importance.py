@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from examlake.llm.common import partitions, stored
+from examlake.llm.common import let, partitions, stored
 
 #: Words: runs of ASCII letters and digits and of all characters beyond ASCII.
 FEATURE_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -21,15 +21,20 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(low, F.lit(FEATURE_WORD), F.lit(0))
 
 
-def grams(w: Column, n: int) -> Column:
-    """All runs of 1 to n consecutive words of an array, joined by one space."""
+def features(text: Column, n: int) -> Column:
+    """All runs of 1 to n consecutive words of a text, joined by one space."""
     if n == 1:
-        return w
-    runs = [w]
-    for size in range(2, n + 1):
-        starts = F.when(F.size(w) >= size, F.sequence(F.lit(1), F.size(w) - (size - 1))).otherwise(F.array().cast("array<int>"))
-        runs.append(F.transform(starts, lambda i, size=size: F.array_join(F.slice(w, i, size), " ")))
-    return F.concat(*runs)
+        return words(text)
+
+    def runs(w: Column) -> Column:
+        def run(size: int) -> Column:
+            starts = F.when(F.size(w) >= size, F.sequence(F.lit(0), F.size(w) - size)).otherwise(F.array().cast("array<int>"))
+            # slice() would copy the whole array for each run.
+            return F.transform(starts, lambda i: F.concat_ws(" ", *(F.get(w, i + k) for k in range(size))))
+
+        return F.concat(w, *(run(size) for size in range(2, n + 1)))
+
+    return let(words(text), runs)
 
 
 def bucket(feature: Column, buckets: int = BUCKETS) -> Column:
@@ -38,8 +43,8 @@ def bucket(feature: Column, buckets: int = BUCKETS) -> Column:
 
 def bucket_counts(texts: DataFrame, text_col: str = "text", n: int = 1, buckets: int = BUCKETS) -> DataFrame:
     """(bucket, n) of all features of all texts; counted within tasks before the shuffle."""
-    features = texts.select(F.explode(grams(words(F.col(text_col)), n)).alias("feature"))
-    return features.groupBy(bucket(F.col("feature"), buckets).alias("bucket")).agg(F.count("*").alias("n"))
+    every = texts.select(F.explode(features(F.col(text_col), n)).alias("feature"))
+    return every.groupBy(bucket(F.col("feature"), buckets).alias("bucket")).agg(F.count("*").alias("n"))
 
 
 def gain_table(docs: DataFrame, target: DataFrame, n: int = 1, buckets: int = BUCKETS, text_col: str = "text") -> DataFrame:
@@ -62,19 +67,16 @@ def weighed(docs: DataFrame, gains: DataFrame, n: int = 1, buckets: int = BUCKET
     alike in id and text have one sum, which is divided by their number and given for each.
     """
     key = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    w = words(F.col("text"))
-    if n == 1:
-        rows = key.select("id", F.xxhash64("text").alias("h"), F.posexplode_outer(w).alias("pos", "feature"))
-        sizes = F.col("pos").isNotNull()
-    else:
-        held = key.select("id", F.xxhash64("text").alias("h"), w.alias("w"))
-        rows = held.select("id", "h", F.size("w").alias("n_words"), F.posexplode_outer(grams(F.col("w"), n)).alias("pos", "feature"))
-        sizes = F.col("pos") < F.col("n_words")
+    # Single words come first among the features, so a place below their number is a word's.
+    n_words = F.size(words(F.col("text"))) if n > 1 else F.lit(2**31 - 1)
+    # What stands beside a generator is computed after it: hash and size come first, so that no text goes with each feature.
+    held = key.select("id", F.xxhash64("text").alias("h"), n_words.alias("n_words"), features(F.col("text"), n).alias("all"))
+    rows = held.select("id", "h", "n_words", F.posexplode_outer("all").alias("pos", "feature"))
     named = rows.withColumn("bucket", bucket(F.col("feature"), buckets))
     # The gains are one row a bucket: a size bounded by `buckets`.
     gained = named.join(F.broadcast(gains), "bucket", "left")
     sums = gained.groupBy("id", "h").agg(
-        F.count_if(F.coalesce("pos", F.lit(0)) == 0).alias("copies"), F.count("pos").alias("features"), F.count_if(sizes).alias("words"), F.coalesce(F.sum("gain"), F.lit(0)).alias("gain")
+        F.count_if(F.coalesce("pos", F.lit(0)) == 0).alias("copies"), F.count("pos").alias("features"), F.count_if(F.col("pos") < F.col("n_words")).alias("words"), F.coalesce(F.sum("gain"), F.lit(0)).alias("gain")
     )
     each = sums.withColumn("m", F.greatest(F.col("features"), F.lit(1)))
     # `gain` and `features` hold all copies: the quotient is one copy's.
