@@ -1,4 +1,4 @@
-"""Semi, anti and full-outer reconciliation, lookups, overlays, phrase leaks."""
+"""Semi, anti and full-outer reconciliation, lookups, overlays."""
 
 from __future__ import annotations
 
@@ -37,26 +37,6 @@ def first_of(sources: DataFrame, key: str, priority: str) -> DataFrame:
     return sources.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
-GRAM = 8
-
-
-def leaks(texts: DataFrame, phrases: DataFrame, text: str, phrase: str, text_key: str, phrase_key: str, least: int = GRAM) -> DataFrame:
-    """(text_key, phrase_key) where a protected phrase of least or more characters stands in a text, both normalised.
-
-    Phrases are indexed by one run of GRAM characters each: of all its runs the one whose hash is least, so that common
-    runs are not what all phrases hang on. Texts give their distinct runs' hashes; an equi-join pairs what shares one,
-    and contains() decides. Texts travel once, with their candidates.
-    """
-    if least < GRAM:
-        raise ValueError(f"phrases are indexed by {GRAM} characters")
-    grams = lambda c: F.transform(F.sequence(F.lit(1), F.length(c) - GRAM + 1), lambda i: F.xxhash64(F.substring(c, i, F.lit(GRAM))))
-    known = phrases.where(F.length(phrase) >= least).select(phrase_key, phrase, F.array_min(grams(F.col(phrase))).alias("_gram"))
-    each = texts.where(F.length(text) >= least).select(text_key, F.explode(F.array_distinct(grams(F.col(text)))).alias("_gram"))
-    met = each.join(known.select(phrase_key, "_gram"), "_gram").select(text_key, phrase_key)
-    held = met.join(texts.select(text_key, text), text_key).join(known.select(phrase_key, phrase), phrase_key)
-    return held.where(F.contains(F.col(text), F.col(phrase))).select(text_key, phrase_key).distinct()
-
-
 def in_both(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """Keys that both have, once each."""
     return a.select(key).intersect(b.select(key))

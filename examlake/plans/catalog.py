@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from examlake.functions import text as T
-from examlake.operators import arrays, dashboard, gates, progress, reconcile, rollouts, sampling, state, windows
+from examlake.operators import arrays, dashboard, gates, phrases, progress, reconcile, rollouts, sampling, state, windows
 from examlake.plans import orders, records, rules  # noqa: F401  they register queries of their own
 from examlake.plans.registry import NOT_WORD, ORACLE_SQL, QUERIES, query  # noqa: F401
 from examlake.sources.tables import load
@@ -69,8 +69,8 @@ def lookup_default(spark, d):
            SELECT doc_id, item_id FROM t JOIN p ON contains(t, p) AND length(p) >= 8""")
 def protected_phrase_leak(spark, d):
     texts = load(spark, d, "documents").select("doc_id", T.normalised(F.col("text")).alias("t"))
-    phrases = load(spark, d, "benchmark").select("item_id", T.normalised(F.col("text")).alias("p"))
-    return reconcile.leaks(texts, phrases, "t", "p", "doc_id", "item_id")
+    guarded = load(spark, d, "benchmark").select("item_id", T.normalised(F.col("text")).alias("p"))
+    return phrases.leaks(texts, guarded, "t", "p", "doc_id", "item_id")
 
 
 @query(r"""SELECT doc_id, len(list_filter(regexp_split_to_array(regexp_replace(text, '[\x{4e00}-\x{9fff}]+', ' ZH ', 'g'), '[\s\x{0b}\x{85}\x{a0}]+'), lambda x: x <> ''))::INTEGER AS words FROM documents""")
