@@ -12,7 +12,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values of the gates: vague words, rejected style words, opening words.
+# Fixed values of the gates, all down to CONCLUSIONS: vague words, commands, rejected style words, opening words, the
+# style suffix, doubled commands, markers of held records, signs of code and LaTeX, typos, and what gives an answer away.
 VAGUE_WORDS = ("several", "some", "a few", "many", "various", "multiple")
 COMMANDS = ("\\frac", "\\sqrt", "\\sum", "\\int", "\\alpha", "\\beta", "\\gamma", "\\theta", "\\lambda", "\\binom")
 SUFFIX_WORDS = ("textbook illustration", "no shading", "no 3D perspective", "no drop shadows", "no gradients")
@@ -36,8 +37,9 @@ CONCLUSIONS = (
 
 def mixed_words(text: Column) -> Column:
     """Words, each run of CJK characters counting as one."""
-    spaced = F.regexp_replace(F.coalesce(text, F.lit("")), "[\\u4e00-\\u9fff]+", " ZH ")
-    return F.size(F.filter(F.split(spaced, r"(?U)\s+"), lambda t: t != ""))
+    # Each run of either kind shrinks to one letter, blanks go, and the letters are counted: no array of words.
+    joined = F.regexp_replace(F.coalesce(text, F.lit("")), "[\\u4e00-\\u9fff]++", " Z ")
+    return F.length(F.regexp_replace(F.regexp_replace(joined, r"(?U)\S++", "x"), r"(?U)\s++", ""))
 
 
 def control_chars(text: Column) -> Column:
@@ -60,7 +62,7 @@ def unbalanced(text: Column) -> Column:
     return (occurrences(text, "$") % 2 != 0) | (occurrences(text, "\\(") != occurrences(text, "\\)")) | (occurrences(text, "\\[") != occurrences(text, "\\]"))
 
 
-#: Fields of a record whose strings the quarantine reads.
+# Fields of a record whose strings the quarantine reads, spans of math, signs of LaTeX.
 LATEX_FIELDS = ("question_text", "explanation", "image_prompt", "final_image_prompt", "image_dependency_reason", "options", "truth_spec")
 MATH = tuple(re.compile(p, re.DOTALL) for p in (r"\$\$.*?\$\$", r"\$[^$\n]+\$", r"\\\(.*?\\\)", r"\\\[.*?\\\]"))
 LATEX_SIGNAL = r"\\[A-Za-z]+|\\[\[(]|\$\$|(?<!\\)\$(?!\$)"
@@ -170,7 +172,10 @@ def concludes(text: Column) -> Column:
 
 def has_word(text: Column, words: tuple[str, ...]) -> Column:
     """Whether one of the words stands in text, letters of any script bounding them."""
-    return text.rlike(r"(?i)(^|[^\p{L}\p{N}_])(" + "|".join(words) + r")($|[^\p{L}\p{N}_])")
+    # Most texts hold none of the words even as a part of others, which is cheaper to see.
+    low = F.lower(text)
+    there = reduce(or_, [F.contains(low, F.lit(w.lower())) for w in words])
+    return F.when(there, text.rlike(r"(?i)(^|[^\p{L}\p{N}_])(" + "|".join(words) + r")($|[^\p{L}\p{N}_])")).otherwise(F.when(text.isNotNull(), F.lit(False)))
 
 
 def first_word_of(text: Column, words: tuple[str, ...]) -> Column:
@@ -184,9 +189,18 @@ def first_part_of(text: Column, parts: tuple[str, ...]) -> Column:
     return F.coalesce(*[F.when(F.contains(low, F.lit(p.lower())), F.lit(p)) for p in parts])
 
 
+#: Blanks as the gates strip them: Java's Unicode blanks, and the four separators of U+001C to U+001F.
+SPACE = r"[\s\x1c-\x1f]"
+
+
+def stripped(text: Column) -> Column:
+    """Text without blanks of any kind at its ends; null counting as empty."""
+    return F.regexp_replace(F.coalesce(text, F.lit("")), rf"(?U)^{SPACE}+|{SPACE}+$", "")
+
+
 def opens_with(text: Column, words: tuple[str, ...] = OPENINGS) -> Column:
-    """Whether text, trimmed, begins with one of the patterns."""
-    return F.trim(text).rlike("(?i)^(" + "|".join(words) + ")")
+    """Whether text, without blanks at its ends, begins with one of the patterns."""
+    return stripped(text).rlike("(?i)^(" + "|".join(words) + ")")
 
 
 def contains_any(text: Column, parts: tuple[str, ...]) -> Column:
@@ -228,7 +242,7 @@ def file_name(text: Column) -> Column:
 
 def final_prompt(prompt: Column, suffix: str = STYLE_SUFFIX) -> Column:
     """The prompt, trimmed, with the style suffix on a line of its own; the suffix alone without one."""
-    t = F.regexp_replace(F.coalesce(prompt, F.lit("")), r"(?U)^\s+|\s+$", "")
+    t = stripped(prompt)
     return F.when(t == "", F.lit(suffix)).otherwise(F.concat(t, F.lit("\n" + suffix)))
 
 

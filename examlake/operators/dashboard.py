@@ -7,6 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from examlake.functions import text as T
+from examlake.functions.variants import holds, kind, let, part, whole
+
 
 def progress_count(records: DataFrame, keys: list[str], status: str, done: list[str], mode: str = "done") -> DataFrame:
     """Progress per key: records of a done status, or all of them (A3, A4); no keys count all records as one."""
@@ -52,9 +55,16 @@ def summary(records: DataFrame, status: str, wrong: str, correct: str, note: str
 
 
 def difficulty(record: Column, paths: tuple[str, ...] = ("$.difficulty", "$.difficulty_level", "$.metadata.difficulty")) -> Column:
-    """A whole number at the first path of a JSON text that holds one but zero or nothing; null if it is no number."""
-    found = [F.nullif(F.nullif(F.get_json_object(record, p), F.lit("")), F.lit("0")) for p in paths]
-    return F.trim(F.coalesce(*found)).try_cast("int")
+    """A whole number at the first path of a JSON text whose value is not null, empty, zero or false; null if that value
+    is no whole number, or a text of one (A15). The text is parsed once."""
+
+    def found(v: Column) -> Column:
+        return F.coalesce(*[let(part(v, p), lambda x: F.when(holds(x), x)) for p in paths])
+
+    def number(v: Column) -> Column:
+        return F.when(kind(v).isin("BIGINT", "STRING"), T.stripped(F.try_variant_get(v, "$", "string")).try_cast("int"))
+
+    return let(whole(record), lambda v: let(found(v), number))
 
 
 def added(counts: list[DataFrame], bin_: str, n: str = "n") -> DataFrame:
@@ -156,8 +166,9 @@ def counters(events: DataFrame, name: str, by: Column) -> DataFrame:
 
 
 def no_growth(snapshots: DataFrame, group: list[str], ts: str, value: str, least: int = 600) -> DataFrame:
-    """seconds since value last rose above all before it, and whether that is least or more."""
-    order = Window.partitionBy(*group).orderBy(ts)
+    """seconds since value last rose above all before it, and whether that is least or more (W10); of rows of one time,
+    the smaller value comes first."""
+    order = Window.partitionBy(*group).orderBy(ts, value)
     before = F.max(value).over(order.rowsBetween(Window.unboundedPreceding, -1))
     rose = F.when(before.isNull() | (F.col(value) > before), F.col(ts))
     out = snapshots.withColumn("_rose", rose).withColumn("_last", F.last("_rose", ignorenulls=True).over(order))

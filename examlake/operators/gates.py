@@ -18,7 +18,7 @@ def prompt_gate(rows: DataFrame, text: str, least: int = 50, most: int = 200, va
     """issues and passed of each text: empty, too short or long, unbalanced, control characters, vague words (the part
     of G1 that any prompt can be put to). Words are counted once a row."""
     t = F.coalesce(F.col(text), F.lit(""))
-    found = issues({"empty": F.trim(t) == "", "too_short": F.col("_words") < least, "too_long": F.col("_words") > most, "unbalanced_math": T.unbalanced(t), "control_char": T.control_chars(t), "vague_word": T.has_word(t, vague)})
+    found = issues({"empty": T.stripped(t) == "", "too_short": F.col("_words") < least, "too_long": F.col("_words") > most, "unbalanced_math": T.unbalanced(t), "control_char": T.control_chars(t), "vague_word": T.has_word(t, vague)})
     return rows.withColumn("_words", T.mixed_words(t)).withColumn("issues", found).drop("_words").withColumn("passed", F.size("issues") == 0)
 
 
@@ -153,5 +153,5 @@ def complexity(difficulty: Column) -> Column:
 
 def completed_options(options: dict[str, Column]) -> Column:
     """Four options, none blank, all different."""
-    values = F.array(*[F.trim(F.coalesce(v, F.lit(""))) for v in options.values()])
+    values = F.array(*[T.stripped(v) for v in options.values()])
     return (F.size(F.array_distinct(values)) == len(options)) & F.forall(values, lambda v: v != "")

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from examlake.functions import text as T
+from examlake.functions import variants
 from examlake.operators import dashboard, gates, progress, rollouts, store, windows
 from examlake.operators.select import load_weight
 from examlake.plans.registry import query
@@ -148,12 +149,24 @@ def dashboard_summary(spark, d):
     return dashboard.summary(rows, "status", "wrong", "correct", "note")
 
 
+@query(r"""WITH j AS (SELECT event_id, '{"p": ' || props || ', "who": {"id": ' || user_id || ', "tags": ["' || event_type || '", [' || event_id || ', null, true, "say \"no\":\n"], [], {"k:": {"max": ' || (event_id % 3) || '}}]}, "none": {}}' AS j FROM events),
+           l AS (SELECT event_id, t.* FROM j, json_tree(j) t)
+           SELECT event_id, replace(fullkey, '"', '') AS path, CASE WHEN type IN ('UBIGINT', 'BIGINT') THEN 'BIGINT' WHEN type = 'VARCHAR' THEN 'STRING' WHEN type = 'NULL' THEN 'VOID' ELSE type END AS kind, CASE WHEN type <> 'NULL' THEN atom->>'$' END AS value
+           FROM l WHERE type NOT IN ('OBJECT', 'ARRAY')""")
+def json_leaves(spark, d):
+    e = load(spark, d, "events")
+    j = F.concat(F.lit('{"p": '), "props", F.lit(', "who": {"id": '), F.col("user_id").cast("string"), F.lit(', "tags": ["'), "event_type", F.lit('", ['), F.col("event_id").cast("string"), F.lit(r', null, true, "say \"no\":\n"], [], {"k:": {"max": '), (F.col("event_id") % 3).cast("string"), F.lit('}}]}, "none": {}}'))
+    return variants.leaf_rows(e.select("event_id", j.alias("j")), "j", ["event_id"])
+
+
 @query("""SELECT k AS difficulty, count(*) AS n FROM (SELECT CASE WHEN event_id % 4 = 3 THEN NULL ELSE (props->>'$.k')::INTEGER END AS k FROM events) WHERE k IS NOT NULL AND k <> 0 GROUP BY 1""")
 def difficulty_histogram(spark, d):
     n, k = F.col("event_id") % 4, F.get_json_object("props", "$.k")
+    nothing = F.element_at(F.array(*map(F.lit, ("0", "0.0", "false", "[]", "{}", '""', "null", "-0e2"))), (F.col("user_id") % 8 + 1).cast("int"))
     j = F.when(n == 0, F.concat(F.lit('{"difficulty": '), k, F.lit("}"))).when(n == 1, F.concat(F.lit('{"difficulty": 0, "difficulty_level": " '), k, F.lit('"}'))).when(n == 2, F.concat(F.lit('{"difficulty": "", "metadata": {"difficulty": '), k, F.lit("}}"))).otherwise('{"difficulty": "hard"}')
-    rows = load(spark, d, "events").select(dashboard.difficulty(j).alias("difficulty"))
-    return dashboard.most_common(rows.where("difficulty <> 0"), "difficulty")
+    # A filter would be moved below the column and make it anew.
+    rows = load(spark, d, "events").select(F.explode(F.filter(F.array(dashboard.difficulty(j)), lambda x: x != 0)).alias("difficulty"))
+    return dashboard.most_common(rows, "difficulty")
 
 
 @query("""SELECT bin, sum(n)::BIGINT AS n FROM (SELECT l_linenumber AS bin, count(*) AS n FROM lineitem GROUP BY 1 UNION ALL SELECT p_size, count(*) FROM part WHERE p_size <= 7 GROUP BY 1) GROUP BY 1""")

@@ -128,7 +128,7 @@ PROMPT = "Diagram of a circuit with " + " ".join(f"part{i} at x{i}" for i in ran
 GOOD = {"question_text": "Which $x$ is it?", "explanation": "It is $\\frac{1}{2}$.", "correct_answer": "B", "question_language": "zh", "image_prompt": PROMPT, "a": "1", "b": "2", "c": "3", "d": "4"}
 CHANGES = [
     ({}, ""), ({"image_prompt": "  "}, "prompt_empty"), ({"image_prompt": "Sketch of some $x$"}, "prompt_short,prompt_opening,prompt_vague,prompt_latex,image_prompt:raw_latex"), ({"explanation": ""}, "missing_explanation"), ({"question_language": "fr"}, "language"),
-    ({"correct_answer": "E"}, "answer"), ({"question_text": "Is \\frac{1} $ it?"}, "question_text:dollar,question_text:arguments_frac,question_text:bare_command"), ({"c": "\\begin{a}"}, "options.C:environments"), ({"image_prompt": PROMPT + " with no gradients"}, "prompt_suffix"),
+    ({"correct_answer": "E"}, "answer"), ({"question_text": "Is \\frac{1} $ it?"}, "question_text:dollar,question_text:arguments_frac,question_text:bare_command"), ({"c": "\\begin{a}"}, "options.C:environments"), ({"image_prompt": PROMPT + " with no gradients"}, "prompt_suffix"), ({"image_prompt": "\n\t" + PROMPT}, ""),
 ]
 
 
@@ -144,9 +144,11 @@ def pre_validation(spark, d):
 CONTRACT = {"version": "1", "diagram_type": "graph", "visual_facts": ["edge A to C has weight 4"], "answer_relevant_facts": ["edge C to D has weight 2"], "labels": ["A", "C", "D"], "quantities": {"AC": 4}, "relations": ["A-C"], "constraints": ["directed"], "distractor_rationales": {k: "r" for k in "ABCD"}, "qwen36_difficulty_rationale": "two steps", "forbidden_text_leakage": ["weight 4 on A to C"]}
 QUESTION = {"question_text": "Which way from A to D?", "options": {"A": "1", "B": "2", "C": "3", "D": "4"}, "correct_answer": "B", "explanation": "x", "difficulty": 3, "question_language": "zh", "image_contract": CONTRACT, "image_prompt": PROMPT, "image_dependency_reason": "needs it"}
 DRAFT_CHANGES = [
-    ({}, {}, None), ({"image_contract": None}, {}, "missing_image_contract"), ({}, {"relations": None}, "contract"), ({"question_text": "Which? weight 4 on  A to C"}, {}, "text_leak"), ({}, {"answer_relevant_facts": ["The shortest path is A to C to D."]}, "answer_given"),
+    ({}, {}, None), ({"image_contract": None}, {}, "missing_image_contract"), ({}, {"relations": None}, "contract"), ({"question_text": "Which? weight 4 on  A to C"}, {}, "text_leak"), ({}, {"answer_relevant_facts": ["Its best route goes by C."]}, "answer_given"),
     ({}, {"distractor_rationales": {"A": "r"}}, "contract"), ({"render_code": "x"}, {}, "old_render_code"), ({"options": {"A": "1", "B": "1", "C": "3", "D": "4"}}, {}, "options_alike"), ({"correct_answer": "b"}, {}, "answer"), ({"question_language": "de"}, {}, "language"), ({"difficulty": 9}, {}, "difficulty"),
     ({"image_prompt": "A map"}, {}, "prompt_length"), ({"image_prompt": "Sketch" + PROMPT[7:]}, {}, "prompt_opening"), ({"difficulty": 0}, {}, "missing_difficulty"), ({}, {"quantities": "4"}, "contract"),
+    ({}, {"quantities": {"max": 4}}, None), ({}, {"quantities": {"of": [{"which": "the max"}]}}, "answer_given"), ({"difficulty": "3.7"}, {}, "difficulty"), ({"difficulty": 3.7}, {}, None), ({"difficulty": True}, {}, None), ({"difficulty": " 2\t"}, {}, None), ({"difficulty": 0.5}, {}, "difficulty"),
+    ({"image_prompt": "\n\t" + PROMPT + "\u3000"}, {}, None), ({"options": {"A": "1", "B": "1\t", "C": "3", "D": "4"}}, {}, "options_alike"), ({}, {"version": "\n"}, "contract"),
 ]
 
 
@@ -155,9 +157,13 @@ def changed(question: dict, contract_: dict) -> str:
     return json.dumps({k: v for k, v in whole.items() if v is not None}, ensure_ascii=False)
 
 
-@query(f"SELECT p_partkey, {literals([x[2] for x in DRAFT_CHANGES])} AS reason, {literals([x[2] for x in DRAFT_CHANGES])} IS NULL AS passed FROM part")
+#: Drafts and their reasons; the last ones are no single object.
+DRAFTS = [(changed(*x[:2]), x[2]) for x in DRAFT_CHANGES] + [(changed({}, {}) + rest, "no_json") for rest in ("}", "]", " x", ", {}")] + [("[1]", "no_json"), (None, "no_json")]
+
+
+@query(f"SELECT p_partkey, {literals([x[1] for x in DRAFTS])} AS reason, {literals([x[1] for x in DRAFTS])} IS NULL AS passed FROM part")
 def question_contract(spark, d):
-    rows = load(spark, d, "part").select("p_partkey", dealt([changed(*x[:2]) for x in DRAFT_CHANGES]).alias("q"))
+    rows = load(spark, d, "part").select("p_partkey", dealt([x[0] for x in DRAFTS]).alias("q"))
     return contract.question_gate(rows, "q").select("p_partkey", "reason", "passed")
 
 
