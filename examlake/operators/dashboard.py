@@ -160,6 +160,14 @@ def taxonomy_sizes(taxonomy: DataFrame, subjects: int = 24) -> DataFrame:
     return taxonomy.select("subject_id", F.greatest(F.size("modules"), F.lit(0)).alias("modules"), F.coalesce(points, F.lit(0)).alias("points"), (total == subjects).alias("complete"))
 
 
+def taxonomy_counts(points: DataFrame, subject: str, module: str, point: str, subjects: int = 24) -> DataFrame:
+    """The same of a flat table, a row a point: counted by module within tasks, nothing is collected; modules without
+    points have a row without one, and so have subjects without modules."""
+    modules = points.groupBy(subject, module).agg(F.count(point).alias("points"))
+    sizes = modules.groupBy(F.col(subject).alias("subject_id")).agg(F.count(module).cast("int").alias("modules"), F.sum("points").cast("int").alias("points"))
+    return sizes.withColumn("complete", F.count("*").over(Window.partitionBy()) == subjects)  # one row a subject
+
+
 def counters(events: DataFrame, name: str, by: Column) -> DataFrame:
     """Running totals keyed by the event's name."""
     return events.groupBy(name).agg(F.sum(by).alias("total"))

@@ -6,17 +6,20 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from examlake.functions import text as T
+from examlake.operators import running
 from examlake.operators.sampling import hashed
 from examlake.operators.state import illegal_transitions
 from examlake.operators.windows import complete_chunks
 
 
-def with_ids(rows: DataFrame, subject: str, key: str, order: list[str], base: DataFrame | None = None) -> DataFrame:
+def with_ids(rows: DataFrame, subject: str, key: str, order: list[str], base: DataFrame | None = None, split: bool = False) -> DataFrame:
     """record_id, such as S01-003-Q0007, by order within a key, going on from the key's base.
 
-    base: (key, base), the numbers already given; keys without one begin at 1."""
-    n = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    numbered = rows.withColumn("_n", n) if base is None else rows.join(base, key, "left").withColumn("_n", n + F.coalesce("base", F.lit(0))).drop("base")
+    base: (key, base), the numbers already given; keys without one begin at 1. split: for few large keys, each of which
+    is numbered by several tasks."""
+    numbered = running.numbered(rows, [key], order, "_n") if split else rows.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    if base is not None:
+        numbered = numbered.join(base, key, "left").withColumn("_n", F.col("_n") + F.coalesce("base", F.lit(0))).drop("base")
     return numbered.withColumn("record_id", F.format_string("%s-%s-Q%04d", F.col(subject), T.key_last(F.col(key)), F.col("_n"))).drop("_n")
 
 
@@ -55,8 +58,9 @@ def fresh(rows: DataFrame, baseline: DataFrame, exported: DataFrame, key: str) -
 def untested(points: DataFrame, tested: DataFrame, subject: str, key: str, least: int) -> DataFrame:
     """Points not tested yet; all of a subject's where fewer than least remain."""
     marked = points.join(tested.select(key).distinct().withColumn("_tested", F.lit(True)), key, "left")
-    left = F.count_if(F.col("_tested").isNull()).over(Window.partitionBy(subject))
-    return marked.withColumn("_left", left).where((F.col("_left") < least) | F.col("_tested").isNull()).drop("_tested", "_left")
+    left = marked.groupBy(F.col(subject).alias("_subject")).agg(F.count_if(F.col("_tested").isNull()).alias("_left"))
+    counted = marked.join(left, marked[subject].eqNullSafe(left["_subject"]))
+    return counted.where((F.col("_left") < least) | F.col("_tested").isNull()).drop("_tested", "_left", "_subject")
 
 
 def zipped(a: DataFrame, b: DataFrame, group: list[str], a_order: list[str], b_order: list[str]) -> DataFrame:
@@ -72,8 +76,8 @@ def of_files(records: DataFrame, files: DataFrame, path: str, key: str) -> DataF
 
 
 def milestone_sample(rows: DataFrame, group: list[str], order: list[str], key: str, size: int = 100, n: int = 3, seed: int = 0) -> DataFrame:
-    """n rows of each full hundred, by hash order (W2, K13); rows get chunk."""
-    chunks = complete_chunks(rows, group, order, size)
+    """n rows of each full hundred, by hash order (W2, K13); rows get chunk. Groups may be of any size."""
+    chunks = complete_chunks(rows, group, order, size, split=True)
     rank = F.row_number().over(Window.partitionBy(*group, "chunk").orderBy(hashed(F.col(key), seed), key))
     return chunks.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 

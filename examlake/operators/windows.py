@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from examlake.operators import running
 
-def numbered(rows: DataFrame, group: list[str], order: list[str], name: str = "n") -> DataFrame:
-    return rows.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
 
+def complete_chunks(rows: DataFrame, group: list[str], order: list[str], size: int, split: bool = False) -> DataFrame:
+    """chunk number by order within a group; only chunks that are full.
 
-def complete_chunks(rows: DataFrame, group: list[str], order: list[str], size: int) -> DataFrame:
-    """chunk number by order within a group; only chunks that are full."""
+    split: for few large groups; each is numbered by several tasks. Else a group is a window's, in one task."""
+    if split:
+        numbered = running.numbered(rows, group, order, "_n", "_total")
+    else:
+        own = Window.partitionBy(*group)
+        numbered = rows.withColumns({"_n": F.row_number().over(own.orderBy(*order)), "_total": F.count("*").over(own)})
     chunk = F.floor((F.col("_n") - 1) / size).cast("long")
-    out = numbered(rows, group, order, "_n").withColumn("chunk", chunk)
-    full = F.count("*").over(Window.partitionBy(*group, "chunk")) == size
-    return out.withColumn("_full", full).where("_full").drop("_n", "_full")
+    return numbered.withColumn("chunk", chunk).where((F.col("chunk") + 1) * size <= F.col("_total")).drop("_n", "_total")
 
 
 def islands(rows: DataFrame, group: list[str], order: list[str], hit: Column) -> DataFrame:

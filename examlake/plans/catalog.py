@@ -152,7 +152,7 @@ def failure_classes(spark, d):
           f AS (SELECT *, count(*) OVER (PARTITION BY o_orderpriority, chunk) AS c FROM n) SELECT o_orderkey, o_orderpriority, chunk FROM f WHERE c = 100""")
 def milestone_bucket(spark, d):
     rows = load(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate")
-    return windows.complete_chunks(rows, ["o_orderpriority"], ["o_orderdate", "o_orderkey"], 100).drop("o_orderdate")
+    return windows.complete_chunks(rows, ["o_orderpriority"], ["o_orderdate", "o_orderkey"], 100, split=True).drop("o_orderdate")
 
 
 @query("""WITH n AS (SELECT o_orderkey, o_custkey, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1) // 10 AS chunk FROM orders),

@@ -237,10 +237,9 @@ def scale_decision(spark, d):
 @query("""SELECT r_name AS subject_id, count(DISTINCT n_nationkey)::INTEGER AS modules, count(c_custkey)::INTEGER AS points, (SELECT count(*) FROM region) = 5 AS complete
           FROM region LEFT JOIN nation ON r_regionkey = n_regionkey LEFT JOIN customer ON n_nationkey = c_nationkey GROUP BY 1""")
 def taxonomy_sizes(spark, d):
-    points = load(spark, d, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.collect_list("c_custkey").alias("knowledge_points"))
-    modules = load(spark, d, "nation").join(points, "n_nationkey", "left").groupBy(F.col("n_regionkey").alias("r_regionkey")).agg(F.collect_list(F.struct("n_nationkey", "knowledge_points")).alias("modules"))
-    taxonomy = load(spark, d, "region").join(modules, "r_regionkey", "left").select(F.col("r_name").alias("subject_id"), "modules")
-    return dashboard.taxonomy_sizes(taxonomy, 5)
+    modules = load(spark, d, "region").join(load(spark, d, "nation"), F.col("r_regionkey") == F.col("n_regionkey"), "left")
+    points = modules.join(load(spark, d, "customer"), F.col("n_nationkey") == F.col("c_nationkey"), "left")
+    return dashboard.taxonomy_counts(points, "r_name", "n_nationkey", "c_custkey", 5)
 
 
 @query("SELECT event_type, round(sum(value), 4) AS total FROM events GROUP BY 1")

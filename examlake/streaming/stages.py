@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from examlake.operators import running
 from examlake.operators.select import backoff
 
 STORE = "record_id string, status string, seq long, detail string"
@@ -36,11 +37,13 @@ def stage(spark: SparkSession, store: str, name: str, taken: str, step: Callable
 
 
 def drained(spark: SparkSession, store: str, stages: list[tuple[str, str, Callable[[DataFrame], DataFrame]]], rounds: int = 10) -> int:
-    """Runs all stages round by round until none adds an event; how many rounds that took (ST1, ST7)."""
+    """Runs all stages round by round until none adds an event; how many rounds that took (ST1, ST7).
+
+    A line that still moves after so many rounds is an error, not a result."""
     for n in range(1, rounds + 1):
         if not sum(stage(spark, store, name, taken, step) for name, taken, step in stages):
             return n
-    return rounds
+    raise RuntimeError(f"the line is not empty after {rounds} rounds")
 
 
 def with_regeneration(rows: DataFrame, failed: Column, passed_to: str, most: int = 2) -> DataFrame:
@@ -51,9 +54,9 @@ def with_regeneration(rows: DataFrame, failed: Column, passed_to: str, most: int
 
 
 def admitted(waiting: DataFrame, group: list[str], order: list[str], room: Column) -> DataFrame:
-    """admitted: whether a waiting item finds room in its queue, by order; the others are deferred (ST3)."""
-    place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-    return waiting.withColumn("admitted", place <= room)
+    """admitted: whether a waiting item finds room in its queue, by order; the others are deferred (ST3). Queues may be
+    of any length."""
+    return running.numbered(waiting, group, order, "_place").withColumn("admitted", F.col("_place") <= room).drop("_place")
 
 
 # Reviewers and generators at work in each zone of queue fill.
