@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from examlake.functions import text as T
-from examlake.operators import gates, reconcile, select, state, store
+from examlake.operators import gates, intervals, reconcile, select, state, store
 from examlake.plans.registry import query
 from examlake.sources import tables
 from examlake.sources.tables import load
@@ -157,3 +157,34 @@ def positional_zip(spark, d):
 def required_fields(spark, d):
     rows = load(spark, d, "part").select("p_partkey", F.when(F.col("p_size") % 5 != 0, F.col("p_name")).alias("name"), F.when(F.col("p_size") % 3 == 0, "").otherwise(F.col("p_brand")).alias("brand"))
     return rows.select("p_partkey", F.array_join(gates.missing({k: ~select.is_filled(F.col(k)) for k in ("name", "brand")}), ",").alias("missing"))
+
+
+#: Leases: from shipping on, for as many days as the order's number says, none at times.
+LEASES = "SELECT l_orderkey, l_linenumber, l_suppkey, l_shipdate::DATE AS s, l_shipdate::DATE + (l_orderkey % 20)::INTEGER AS e FROM lineitem"
+
+
+def _leases(spark, d):
+    start = F.col("l_shipdate").cast("date")
+    return load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", start.alias("s"), F.date_add(start, (F.col("l_orderkey") % 20).cast("int")).alias("e"))
+
+
+@query(f"""WITH i AS ({LEASES}) SELECT a.*, count(b.l_orderkey) AS calls FROM (SELECT DISTINCT l_suppkey, s, e FROM i) a LEFT JOIN i b ON a.l_suppkey = b.l_suppkey AND b.s >= a.s AND b.s < a.e GROUP BY ALL""")
+def lease_calls(spark, d):
+    """Leases of a supplier, and the calls, lines shipped, that fall within them."""
+    leases = _leases(spark, d)
+    spans = leases.select("l_suppkey", "s", "e").distinct()
+    return intervals.counted_within(spans, leases.select("l_suppkey", F.col("s").alias("at")), "s", "e", "at", 16, ["l_suppkey"], ["l_suppkey", "s", "e"], "calls")
+
+
+@query(f"""WITH i AS (SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS id FROM ({LEASES}) WHERE s < e),
+               m AS (SELECT *, max(e) OVER (PARTITION BY l_suppkey, l_linenumber ORDER BY s, e, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM i),
+               p AS (SELECT *, sum((reach IS NULL OR s > reach)::INTEGER) OVER (PARTITION BY l_suppkey, l_linenumber ORDER BY s, e, id ROWS UNBOUNDED PRECEDING) AS spell FROM m),
+               w AS (SELECT l_suppkey, l_linenumber, spell, min(s) AS s, max(e) AS e, count(*) AS n FROM p GROUP BY ALL),
+               g AS (SELECT *, date_diff('day', lag(e) OVER (PARTITION BY l_suppkey, l_linenumber ORDER BY s), s) AS gap FROM w),
+               t AS (SELECT a.l_suppkey, a.l_linenumber, a.id, count(*) AS k FROM i a JOIN i b ON a.l_suppkey = b.l_suppkey AND a.l_linenumber = b.l_linenumber AND b.s <= a.s AND a.s < b.e GROUP BY ALL),
+               u AS (SELECT l_suppkey, l_linenumber, max(k) AS most FROM t GROUP BY ALL)
+          SELECT l_suppkey, l_linenumber, sum(n)::BIGINT AS leases, sum(date_diff('day', s, e))::BIGINT AS busy, count(*) AS spells, coalesce(max(gap), 0)::BIGINT AS longest_gap, max(most)::BIGINT AS most
+          FROM g JOIN u USING (l_suppkey, l_linenumber) GROUP BY ALL""")
+def lease_coverage(spark, d):
+    """Spells, gaps and overlaps of the leases of each supplier and line number."""
+    return intervals.coverage(_leases(spark, d), ["l_suppkey", "l_linenumber"], "s", "e")
