@@ -10,6 +10,8 @@ from examlake.functions import variants
 from examlake.operators import dashboard, gates, progress, rollouts, store, windows
 from examlake.operators.select import load_weight
 from examlake.plans.registry import query
+from examlake.sources import recorded
+from examlake.sources.scratch import written
 from examlake.sources.tables import load
 from examlake.streaming import stages
 
@@ -327,3 +329,16 @@ def rollout_details(spark, d):
     other = T.format_detail(F.lit("rollout"), w, 5 - w, F.array(F.lit("A"), F.lit("B")))
     read = T.rollout_detail(F.when(F.col("o_orderkey") % 4 != 0, made))
     return load(spark, d, "orders").select("o_orderkey", w.alias("wrong"), F.concat(read["wrong"].cast("string"), F.lit(":"), F.array_join(read["answers"], ",")).alias("parsed"), other.alias("detail"))
+
+
+@query("""WITH r AS (SELECT conv_id AS item, turn::INTEGER AS idx, text, (conv_id + turn) % 5 AS k FROM conversations)
+          SELECT item, idx, CASE WHEN k IN (0, 1, 2) THEN coalesce(text, '') WHEN k = 4 THEN '' END AS answer,
+                 CASE WHEN k = 3 THEN 'failed' WHEN k = 4 OR coalesce(text, '') = '' THEN 'empty' ELSE 'ok' END AS status FROM r""")
+def recorded_answers(spark, d):
+    """Conversations recorded as a service's replies, of two forms and with failures, replayed by the data source."""
+    said = load(spark, d, "conversations")
+    kinds = F.element_at(F.array(*map(F.lit, ("choices", "parts", "choices", "error", "none"))), (F.pmod(F.col("conv_id") + F.col("turn"), F.lit(5)) + 1).cast("int"))
+    recording = written(said.select(F.col("conv_id").alias("item"), F.col("turn").cast("int").alias("idx"), recorded.reply(F.col("text"), kinds).alias("body")), "recording")
+    recorded.register(spark)
+    folder = recording.inputFiles()[0].rsplit("/", 1)[0]
+    return spark.read.format("recorded_answers").load(folder).select("item", "idx", "answer", "status")
