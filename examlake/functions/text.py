@@ -257,7 +257,7 @@ def rollout_detail(detail: Column) -> Column:
 def lenient_detail(detail: Column) -> Column:
     """struct<wrong, correct, answers> of the parts that a detail has: counts up to 5, answers of A-D; else null."""
     part = lambda form, c: F.nullif(F.regexp_extract(c, form, 1), F.lit(""))
-    answers = F.filter(F.transform(F.split(part("answers=([A-D, ]+)", detail), ","), F.trim), lambda a: a != "")
+    answers = F.filter(F.transform(F.split(part("answers=([A-D, ]+)", detail), ","), lambda a: F.trim(a)), lambda a: a != "")
     return F.struct(part("wrong=([0-5])", F.lower(detail)).try_cast("int").alias("wrong"), part("correct=([0-5])", F.lower(detail)).try_cast("int").alias("correct"), answers.alias("answers"))
 
 

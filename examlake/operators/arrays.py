@@ -14,11 +14,6 @@ def mean(values: Column) -> Column:
     return total(values) / F.size(values)
 
 
-def spread(values: Column) -> Column:
-    """Largest less smallest."""
-    return F.array_max(values) - F.array_min(values)
-
-
 def share(values: Column, hit) -> Column:
     """Share of the values for which hit holds."""
     return F.size(F.filter(values, hit)) / F.size(values)

@@ -233,6 +233,8 @@ def pixel_gate(rows: DataFrame, generated: Column | None = None) -> DataFrame:
     return rows.withColumn("_r", found).withColumns({"issues": F.col("_r.issues"), "layout": F.col("_r.layout"), "passed": F.size("_r.issues") == 0}).drop("_r")
 
 
-def file_sane(size: Column, least: int = 1024) -> Column:
-    """Whether a rendered file holds enough bytes to be an image."""
-    return F.coalesce(size, F.lit(0)) >= least
+def file_sane(size: Column, mean: Column | None = None, least: int = 1024, dark: float = 3.0, bright: float = 254.0) -> Column:
+    """Whether a rendered file holds enough bytes to be an image and, where its mean brightness is given, is neither all
+    but white nor all but black (G11). A file without a size is none."""
+    large = F.coalesce(size, F.lit(0)) >= least
+    return large if mean is None else large & F.coalesce(mean.between(dark, bright), F.lit(False))

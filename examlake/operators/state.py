@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -23,9 +23,13 @@ def partial_updates(updates: DataFrame, key: str, order: str, columns: list[str]
 
 
 def insert_ignore(new: DataFrame, existing: DataFrame, key: str) -> DataFrame:
-    """Rows of new whose key is not there yet, one per key: the one that sorts first by its other columns (K2)."""
-    order = Window.partitionBy(key).orderBy(*[c for c in new.columns if c != key] or [key])
-    return new.join(existing, key, "left_anti").withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
+    """Rows of new whose key is not there yet, one per key: the one that sorts first by its other columns (K2). Reduced
+    within tasks before the shuffle."""
+    rest = [c for c in new.columns if c != key]
+    missing = new.join(existing.select(key), key, "left_anti")
+    if not rest:
+        return missing.distinct()
+    return missing.groupBy(key).agg(F.min(F.struct(*rest)).alias("_first")).select(*[F.col(c) if c == key else F.col(f"_first.{c}").alias(c) for c in new.columns])
 
 
 def illegal_transitions(log: DataFrame, allowed: DataFrame) -> DataFrame:

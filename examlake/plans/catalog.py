@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from examlake.functions import text as T
 from examlake.operators import arrays, dashboard, gates, phrases, progress, reconcile, rollouts, sampling, state, windows
-from examlake.plans import orders, records, rules  # noqa: F401  they register queries of their own
+from examlake.plans import orders, records, rest, rules  # noqa: F401  they register queries of their own
 from examlake.plans.registry import NOT_WORD, ORACLE_SQL, QUERIES, query  # noqa: F401
 from examlake.sources.tables import load
 from examlake.streaming import jobs
