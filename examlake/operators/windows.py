@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from examlake.operators import running
 
 
+def numbered(rows: DataFrame, group: list[str], order: list[str], name: str = "n") -> DataFrame:
+    """A number from 1 on in each group, by order; a group is one task's (running.numbered() has those that are not)."""
+    return rows.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+
+
 def complete_chunks(rows: DataFrame, group: list[str], order: list[str], size: int, split: bool = False) -> DataFrame:
     """chunk number by order within a group; only chunks that are full.
 

@@ -168,12 +168,12 @@ def _leases(spark, d):
     return load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", start.alias("s"), F.date_add(start, (F.col("l_orderkey") % 20).cast("int")).alias("e"))
 
 
-@query(f"""WITH i AS ({LEASES}) SELECT a.*, count(b.l_orderkey) AS calls FROM (SELECT DISTINCT l_suppkey, s, e FROM i) a LEFT JOIN i b ON a.l_suppkey = b.l_suppkey AND b.s >= a.s AND b.s < a.e GROUP BY ALL""")
+@query(f"""WITH i AS ({LEASES}) SELECT a.l_suppkey, a.s::VARCHAR AS s, a.e::VARCHAR AS e, count(b.l_orderkey) AS calls FROM (SELECT DISTINCT l_suppkey, s, e FROM i) a LEFT JOIN i b ON a.l_suppkey = b.l_suppkey AND b.s >= a.s AND b.s < a.e GROUP BY ALL""")
 def lease_calls(spark, d):
     """Leases of a supplier, and the calls, lines shipped, that fall within them."""
     leases = _leases(spark, d)
     spans = leases.select("l_suppkey", "s", "e").distinct()
-    return intervals.counted_within(spans, leases.select("l_suppkey", F.col("s").alias("at")), "s", "e", "at", 16, ["l_suppkey"], ["l_suppkey", "s", "e"], "calls")
+    return intervals.counted_within(spans, leases.select("l_suppkey", F.col("s").alias("at")), "s", "e", "at", 16, ["l_suppkey"], ["l_suppkey", "s", "e"], "calls").withColumns({"s": F.col("s").cast("string"), "e": F.col("e").cast("string")})
 
 
 @query(f"""WITH i AS (SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS id FROM ({LEASES}) WHERE s < e),

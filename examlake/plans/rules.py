@@ -158,12 +158,12 @@ def changed(question: dict, contract_: dict) -> str:
 
 
 #: Drafts and their reasons; the last ones are no single object.
-DRAFTS = [(changed(*x[:2]), x[2]) for x in DRAFT_CHANGES] + [(changed({}, {}) + rest, "no_json") for rest in ("}", "]", " x", ", {}")] + [("[1]", "no_json"), (None, "no_json")]
+QUESTIONS = [(changed(*x[:2]), x[2]) for x in DRAFT_CHANGES] + [(changed({}, {}) + rest, "no_json") for rest in ("}", "]", " x", ", {}")] + [("[1]", "no_json"), (None, "no_json")]
 
 
-@query(f"SELECT p_partkey, {literals([x[1] for x in DRAFTS])} AS reason, {literals([x[1] for x in DRAFTS])} IS NULL AS passed FROM part")
+@query(f"SELECT p_partkey, {literals([x[1] for x in QUESTIONS])} AS reason, {literals([x[1] for x in QUESTIONS])} IS NULL AS passed FROM part")
 def question_contract(spark, d):
-    rows = load(spark, d, "part").select("p_partkey", dealt([x[0] for x in DRAFTS]).alias("q"))
+    rows = load(spark, d, "part").select("p_partkey", dealt([x[0] for x in QUESTIONS]).alias("q"))
     return contract.question_gate(rows, "q").select("p_partkey", "reason", "passed")
 
 
