@@ -24,6 +24,10 @@ PLAIN = 4096
 SPARSE = 8
 #: Vectors of a filter that are compared in one block; larger filters are cut into such parts, each pair of which is a block.
 PART = 512
+#: Vectors of a block up to which its pairs are looked at together with those of other blocks.
+SMALL = 16
+#: Vectors with links, of several blocks, that are decoded together.
+WAITING = 8192
 
 
 @functools.cache
@@ -124,7 +128,7 @@ def code_for(d: int, n: int, cosine: float, shared: float = SHARED, seed: int =
     return Code(d, factors, max(2, int(np.ceil(wanted ** (1 / factors)))), alpha, seed)
 
 
-def units(vectors: list[np.ndarray]) -> np.ndarray:
+def units(vectors: list[np.ndarray] | np.ndarray) -> np.ndarray:
     """Vectors of one dimension at length 1; scaled by a power of two first, so that no square leaves the doubles."""
     v = np.array(vectors, float).reshape(len(vectors), -1)
     v = np.ldexp(v, -np.frexp(np.abs(v).max(axis=1))[1][:, None])
@@ -172,13 +176,21 @@ def first_shared(rows: np.ndarray, columns: np.ndarray, filter_: int, who: np.nd
     return (holds @ holds.T)[rows, columns] == 0
 
 
-def compared(reps: np.ndarray, weights: np.ndarray, sides: np.ndarray, unit: np.ndarray, filter_: int, code: Code, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
-    """(rep, links, root) of the vectors of a block that are linked in it, or None if none are.
+@dataclass
+class Linked:
+    """The vectors of a block that have links in it, and their linked pairs, as positions among them."""
 
-    A pair counts as a link in the least filter that both its vectors are in, and there alone: the filters of the few
-    vectors that have links are decoded again. The root is the least vector that the block's links reach. Where a block
-    holds two parts, only pairs across them are its own (sides tell them apart).
-    """
+    filter: int
+    reps: np.ndarray
+    weights: np.ndarray
+    unit: np.ndarray
+    a: np.ndarray
+    b: np.ndarray
+
+
+def linked(reps: np.ndarray, weights: np.ndarray, sides: np.ndarray, unit: np.ndarray, filter_: int, cosine: float) -> Linked | None:
+    """Pairs of a block at the cosine or more, or None. Where a block holds two parts, only pairs across them are its own
+    (sides tell them apart)."""
     near = unit @ unit.T >= cosine
     np.fill_diagonal(near, False)
     if sides.any() and not sides.all():
@@ -186,20 +198,56 @@ def compared(reps: np.ndarray, weights: np.ndarray, sides: np.ndarray, unit: np.
     own = np.flatnonzero(near.any(axis=1))
     if not len(own):
         return None
-    near = near[np.ix_(own, own)]
-    a, b = np.nonzero(np.triu(near))
-    here = first_shared(a, b, filter_, *code.filters(unit[own]), len(own))
-    links = np.zeros(len(own), np.int64)
-    np.add.at(links, a[here], weights[own][b[here]])
-    np.add.at(links, b[here], weights[own][a[here]])
-    root = reps[own].copy()
-    while True:
-        least = root.copy()
-        np.minimum.at(least, a, root[b])
-        np.minimum.at(least, b, root[a])
-        if (least == root).all():
-            return reps[own], links, root
-        root = least
+    return Linked(filter_, reps[own], weights[own], unit[own], *np.nonzero(np.triu(near[np.ix_(own, own)])))
+
+
+def counted(blocks_: list[Linked], code: Code) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(rep, links, root) of the vectors of each block.
+
+    A pair counts as a link in the least filter that both its vectors are in, and there alone: the filters of all
+    vectors that have links are decoded again, once for all blocks. The root is the least vector that a block's links
+    reach.
+    """
+    reps, first = np.unique(np.concatenate([x.reps for x in blocks_]), return_index=True)
+    unit = np.concatenate([x.unit for x in blocks_])[first]
+    parts = [code.filters(unit[at : at + 512]) for at in range(0, len(unit), 512)]
+    found = np.concatenate([f for _, f in parts])
+    cuts = np.searchsorted(np.concatenate([w + 512 * i for i, (w, _) in enumerate(parts)]), np.arange(len(reps) + 1))
+    for x in blocks_:
+        at = np.searchsorted(reps, x.reps)
+        n = cuts[at + 1] - cuts[at]
+        who = np.repeat(np.arange(len(at)), n)
+        own = found[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + cuts[at][who]]
+        here = first_shared(x.a, x.b, x.filter, who, own, len(at))
+        links = np.zeros(len(at), np.int64)
+        np.add.at(links, x.a[here], x.weights[x.b[here]])
+        np.add.at(links, x.b[here], x.weights[x.a[here]])
+        root = x.reps.copy()
+        while True:
+            least = root.copy()
+            np.minimum.at(least, x.a, root[x.b])
+            np.minimum.at(least, x.b, root[x.a])
+            if (least == root).all():
+                break
+            root = least
+        yield x.reps, links, root
+
+
+def promising(unit: np.ndarray, starts: np.ndarray, ends: np.ndarray, cosine: float) -> np.ndarray:
+    """Which blocks of consecutive rows may hold a linked pair: all larger ones, and those of up to SMALL rows in which
+    some pair is near. Most blocks are small and hold none, so these are looked at together."""
+    sizes = ends - starts
+    near = sizes > SMALL
+    of = np.repeat(np.arange(len(starts)), np.where(near, 0, sizes))
+    rows = np.arange(len(of)) - np.repeat(np.cumsum(np.where(near, 0, sizes)) - np.where(near, 0, sizes), np.where(near, 0, sizes)) + starts[of]
+    for k in range(1, SMALL):
+        at = np.flatnonzero(of[k:] == of[:-k])
+        if not len(at):
+            break
+        for part in np.array_split(at, len(at) // 65_536 + 1):
+            hit = np.einsum("ij,ij->i", unit[rows[part]], unit[rows[part + k]]) >= cosine - 1e-9
+            near[of[part[hit]]] = True
+    return near
 
 
 def verified(members: DataFrame, n: int, cosine: float) -> DataFrame:
@@ -207,39 +255,52 @@ def verified(members: DataFrame, n: int, cosine: float) -> DataFrame:
     other in a partition, and a block has at most some two parts' rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []  # of the open block: (key, sides, reps, weights, vectors) of each batch
-
-        def block() -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
-            d, f = held[0][0][0], held[0][0][1]
-            sides, reps, weights = (np.concatenate([h[i] for h in held]) for i in (1, 2, 3))
-            if len(reps) < 2:
-                return None
-            return compared(reps, weights, sides, units([v for h in held for v in h[4]]), f, code_for(d, n, cosine), cosine)
-
-        def out(found: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*found, strict=True)], names=["rep", "links", "root"])
+        held: list[tuple] = []  # of the open block: (key, sides, reps, weights, unit vectors) of each batch
+        waiting: list[Linked] = []  # blocks of one dimension whose links are to be counted
+
+        def block() -> Iterator[pa.RecordBatch]:
+            d, f = held[0][0][:2]
+            sides, reps, weights, unit = (np.concatenate([h[i] for h in held]) for i in (1, 2, 3, 4))
+            got = linked(reps, weights, sides, unit, f, cosine) if len(reps) > 1 else None
+            if got:
+                if waiting and waiting[0].unit.shape[1] != d:
+                    yield from out()
+                waiting.append(got)
+                if sum(len(x.reps) for x in waiting) >= WAITING:
+                    yield from out()
+
+        def out() -> Iterator[pa.RecordBatch]:
+            if waiting:
+                rows = list(counted(waiting, code_for(waiting[0].unit.shape[1], n, cosine)))
+                waiting.clear()
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*rows, strict=True)], names=["rep", "links", "root"])
 
-        found = []
         for b in batches:
             keys = np.stack([b.column(i).to_numpy().astype(np.int64) for i in range(4)], axis=1)
             cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
             sides, reps, weights = (b.column(i).to_numpy() for i in (4, 5, 6))
             lists = b.column(7)
             flat, offsets = lists.flatten().to_numpy(zero_copy_only=False), lists.offsets.to_numpy() - lists.offsets[0].as_py()
-            for lo, hi in zip([0, *cuts], [*cuts, len(keys)], strict=True):
-                key = tuple(keys[lo].tolist()) if len(keys) else None
-                if key is None:
-                    continue
-                if held and held[0][0] != key:
-                    if got := block():
-                        found.append(got)
-                    held.clear()
-                held.append((key, sides[lo:hi], reps[lo:hi], weights[lo:hi], [flat[offsets[i] : offsets[i + 1]] for i in range(lo, hi)]))
-            if found:
-                yield out(found)
-                found = []
-        if held and (got := block()):
-            yield out([got])
+            # Rows come by dimension, so a batch is a few runs of rows of one length.
+            turns = [0, *(np.flatnonzero(keys[1:, 0] != keys[:-1, 0]) + 1), len(keys)] if len(keys) else [0]
+            starts, ends = np.array([0, *cuts]), np.array([*cuts, len(keys)])
+            for lo, hi in zip(turns[:-1], turns[1:], strict=True):
+                d = int(keys[lo, 0])
+                unit = units(flat[offsets[lo] : offsets[hi]].reshape(hi - lo, d))
+                own = np.flatnonzero((starts >= lo) & (ends <= hi))
+                near = promising(unit, starts[own] - lo, ends[own] - lo, cosine)
+                # The first and the last block of a batch may go on in others.
+                near |= (own == 0) | (own == len(starts) - 1)
+                for k in own[near].tolist():
+                    a, z = starts[k], ends[k]
+                    key = tuple(keys[a].tolist())
+                    if held and held[0][0] != key:
+                        yield from block()
+                        held.clear()
+                    held.append((key, sides[a:z], reps[a:z], weights[a:z], unit[a - lo : z - lo]))
+        if held:
+            yield from block()
+        yield from out()
 
     return members.mapInArrow(run, "rep long, links long, root long")
 
