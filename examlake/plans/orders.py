@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from examlake.functions import text as T
 from examlake.operators import gates, intervals, reconcile, select, state, store
 from examlake.plans.registry import query
-from examlake.sources import tables
+from examlake.sources import layout, scratch, tables
 from examlake.sources.tables import load
 
 
@@ -22,6 +24,14 @@ def point_lookup(spark, d):
     return tables.lookup(spark, d, "orders", "o_orderkey", 42)
 
 
+@query("SELECT o_custkey, count(*) AS n, sum(o_totalprice::DECIMAL(18,2))::DOUBLE AS total, min(o_orderkey) AS first FROM orders WHERE o_custkey IN (42, 43, -7) GROUP BY o_custkey")
+def bloom_lookup(spark, d):
+    path = f"{scratch.shared_dir(spark)}/clustered-orders-{uuid.uuid4().hex}"
+    layout.write_clustered(load(spark, d, "orders"), path, ["o_orderdate"], ["o_custkey"])
+    found = spark.read.parquet(path).where(F.col("o_custkey").isin(42, 43, -7))
+    return found.groupBy("o_custkey").agg(F.count("*").alias("n"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total"), F.min("o_orderkey").alias("first"))
+
+
 @query(r"""WITH k AS (SELECT p_partkey, p_name, p_brand, 'S' || lpad((p_size % 24)::VARCHAR, 2, '0') AS s, 'S' || lpad((p_size % 24)::VARCHAR, 2, '0') || '-M' || (p_partkey % 3) AS m FROM part)
            SELECT p_partkey, starts_with(p_brand, 'Brand#1') AS prefixed, regexp_full_match(s, 'S\d{2}') AS subject_id, NOT (s IN ('S03', 'S07') OR m IN ('S05-M1')) AS kept, substr(p_name, 1, 5) AS short FROM k""")
 def key_predicates(spark, d):
