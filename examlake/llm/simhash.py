@@ -14,7 +14,8 @@ from examlake.llm.common import components, slices, stored
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 BLANK = str.maketrans({c: " " for c in "\x09\x0a\x0b\x0c\x0d"})
-#: A bucket this large emits pair keys (2016 masks a member) instead of pairs; below it, pairs are fewer.
+#: A bucket over this size is split by pieces of the other segment, and a piece over it emits pair keys (2016 masks a
+#: member) instead of pairs; below it, pairs are fewer.
 PAIRWISE = 64
 
 
@@ -60,28 +61,47 @@ def _variants(fp: Column) -> Column:
     return F.array(*out)
 
 
+def _pieces(fp: Column, key: Column) -> Column:
+    """Three pieces of the segment that key does not speak of, each tagged with key: two bits leave one of them whole."""
+    other = F.when(F.shiftrightunsigned(key, 37) == 0, F.shiftrightunsigned(fp, 32)).otherwise(fp.bitwiseAND(F.lit(0xFFFFFFFF)))
+    cuts = [(at, F.shiftrightunsigned(other, at).bitwiseAND(F.lit((1 << wide) - 1))) for at, wide in ((0, 11), (11, 11), (22, 10))]
+    return F.array(*[F.struct(key.alias("key"), F.lit(at).alias("at"), value.alias("value")) for at, value in cuts])
+
+
+def _paired(members: DataFrame, on: list[str]) -> DataFrame:
+    """Linked pairs (a, b) of the members fp that agree in on; nothing is broadcast."""
+    m = members.select(*on, F.col("fp").alias("a"))
+    other = members.select(*on, F.col("fp").alias("b")).hint("merge")
+    return m.join(other, on).where("a < b").select("a", "b").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2)
+
+
 def links(classes: DataFrame) -> DataFrame:
     """Links (a, b) that join all fingerprints at 2 or fewer differing bits; classes: distinct fp.
 
     Two bits over two segments leave one segment with one differing bit at most, so linked fingerprints share a
     one-wildcard variant of a segment. Keys with two fingerprints give the pair at once; keys with up to PAIRWISE
-    are joined and verified; members of larger ones go through keys with two open bits, where any two with the same
-    key are linked, and each is tied to the least: as many links as members, no pairs, and none is lost.
+    are joined and verified; larger ones are split by three pieces of the other segment, one of which is equal in a
+    linked pair. Members of pieces that are larger too go through keys with two open bits, where any two with the same
+    key are linked, and each is tied to the least: as many links as members, no pairs, and none is lost. All joins are
+    sort-merge joins, as Spark takes exploded keys for as small as what they were made of and would broadcast them.
     """
     keyed = classes.select("fp", F.explode(_variants(F.col("fp"))).alias("key"))
     groups = stored(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"), "simhash-keys")
-    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2
-    pairs = groups.where("n = 2").select("a", "b").where(near)
-    members = stored(keyed.join(groups.where("n > 2").select("key", "n"), "key"), "simhash-members")
-    few = members.where(F.col("n") <= PAIRWISE)
-    joined = few.select("key", F.col("fp").alias("a")).join(few.select("key", F.col("fp").alias("b")), "key").where("a < b").select("a", "b").where(near)
-    many = members.where(F.col("n") > PAIRWISE).select("fp").distinct()
+    pairs = groups.where("n = 2").select("a", "b").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2)
+    members = stored(keyed.join(groups.where("n > 2").select("key", "n").hint("merge"), "key"), "simhash-members")
+    joined = _paired(members.where(F.col("n") <= PAIRWISE), ["key"])
+    large = members.where(F.col("n") > PAIRWISE)
+    split = stored(large.select("fp", F.explode(_pieces(F.col("fp"), F.col("key"))).alias("p")).select("fp", "p.*"), "simhash-pieces")
+    piece = ["key", "at", "value"]
+    sizes = stored(split.groupBy(piece).agg(F.count("*").alias("n")).where("n > 1"), "simhash-piece-sizes")
+    close = _paired(split.join(sizes.where(F.col("n") <= PAIRWISE).select(piece).hint("merge"), piece), piece)
+    many = split.join(sizes.where(F.col("n") > PAIRWISE).select(piece).hint("merge"), piece).select("fp").distinct()
     high = many.select("fp", F.explode(F.sequence(F.lit(1), F.lit(63))).alias("i"))
     both = high.select("fp", "i", F.explode(F.sequence(F.lit(0), F.col("i") - 1)).alias("j"))
     opened = both.selectExpr("fp", "64 * i + j as bits", "fp & ~(shiftleft(1L, i) | shiftleft(1L, j)) as value")
     least = opened.groupBy("bits", "value").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1")
-    stars = opened.join(least, ["bits", "value"]).where("fp <> a").select("a", F.col("fp").alias("b"))
-    return pairs.union(joined).union(stars).distinct()
+    stars = opened.join(least.hint("merge"), ["bits", "value"]).where("fp <> a").select("a", F.col("fp").alias("b"))
+    return pairs.union(joined).union(close).union(stars).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
@@ -94,10 +114,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     fps = stored(fingerprints(docs, id_col, text_col, shingle), "simhash")
     classes = stored(fps.groupBy("fp").agg(F.min("id").alias("rep")), "simhash-classes")
     ends = links(classes.select("fp"))
-    named = ends.join(classes.toDF("a", "u"), "a").join(classes.toDF("b", "v"), "b").select("u", "v")
+    named = ends.join(classes.toDF("a", "u").hint("merge"), "a").join(classes.toDF("b", "v").hint("merge"), "b").select("u", "v")
     roots = components(named)
-    owner = classes.join(roots, F.col("rep") == F.col("node"), "left").select("fp", F.coalesce("root", "rep").alias("component"))
-    return fps.join(owner, "fp").select("id", "fp", "component")
+    owner = classes.join(roots.hint("merge"), F.col("rep") == F.col("node"), "left").select("fp", F.coalesce("root", "rep").alias("component"))
+    return fps.join(owner.hint("merge"), "fp").select("id", "fp", "component")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:

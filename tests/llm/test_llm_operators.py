@@ -69,6 +69,37 @@ def test_simhash_hot_bucket(spark):
     assert classes([(r["a"], r["b"]) for r in near]) == classes(every)
 
 
+def test_simhash_large_bucket_is_split_and_not_broadcast(spark):
+    """Members of a bucket of thousands find their links by pieces; exploded keys of any number stay out of the driver."""
+    rng = np.random.default_rng(6)
+    high = int(rng.integers(0, 2**30)) << 32
+    fps = {high | int(x) for x in rng.integers(0, 2**32, 1500)}
+    for f in sorted(fps)[:300]:  # links of one and two bits, in the common segment too
+        a, b = (int(x) for x in rng.choice(64, 2, replace=False) % 62)
+        fps |= {f ^ (1 << a), f ^ (1 << a) ^ (1 << b)}
+    fps |= {high | (1 << i) for i in range(32)} | {high | (1 << i) | (1 << j) for i in range(32) for j in range(i)}
+    near = simhash.links(spark.createDataFrame([(f,) for f in sorted(fps)], "fp long"))
+    got = {(r["a"], r["b"]) for r in near.collect()}
+    assert "Broadcast" not in near._jdf.queryExecution().executedPlan().toString()
+    listed = np.array(sorted(fps), np.uint64)
+    every = [(int(f), int(g)) for i, f in enumerate(listed) for g in listed[i + 1 :][np.bitwise_count(listed[i + 1 :] ^ f) <= 2]]
+    assert got <= set(every)
+
+    def classes(pairs):
+        up = {f: f for f in fps}
+        for a, b in pairs:
+            while up[a] != a:
+                a = up[a]
+            while up[b] != b:
+                b = up[b]
+            up[max(a, b)] = min(a, b)
+        for f in sorted(up):
+            up[f] = up[up[f]]
+        return up
+
+    assert classes(got) == classes(every)
+
+
 def test_huffman(spark, docs, empty):
     rng = np.random.default_rng(0)
     for limit in (9, 12, 16):
