@@ -19,6 +19,16 @@ BLANK = str.maketrans({c: " " for c in "\x09\x0a\x0b\x0c\x0d"})
 PAIRWISE = 64
 
 
+def bit_counts(h: np.ndarray) -> np.ndarray:
+    """How many of the 64-bit hashes have each bit."""
+    return np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+
+
+def majority(total: np.ndarray, n: int) -> int:
+    """The bits that over half of n hashes have, as a signed integer."""
+    return int(np.packbits(2 * total > n, bitorder="little").view("<i8")[0])
+
+
 def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
     """64-bit SimHash of the text's word shingles as a signed integer; no words give zero.
 
@@ -36,9 +46,8 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
     digest, total = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
     for at in range(0, n, 1 << 16):
         h = np.array([digest(line[a:b], seed) for a, b in zip(starts[at : at + (1 << 16)], ends[at : at + (1 << 16)], strict=True)], np.dtype("<u8"))
-        total += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = np.packbits(2 * total > n, bitorder="little").view("<i8")
-    return int(bits[0])
+        total += bit_counts(h)
+    return majority(total, n)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
