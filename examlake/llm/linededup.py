@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,8 @@ LINE, WINDOW = 30, 21
 SHORT = 8
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-BLANK = np.zeros(256, bool)
-BLANK[[9, 10, 11, 12, 13, 32]] = True
+#: Bytes whose words are hashed at once, and bytes of texts that are read together.
+STEP, CHUNK = 1 << 16, 1 << 20
 
 
 class Powers:
@@ -52,16 +53,56 @@ POWERS = Powers()
 def words(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte starts, byte ends and 64-bit hashes of a text's words."""
     raw = np.frombuffer(data, np.uint8)
-    solid = np.concatenate([[False], ~BLANK[raw], [False]])
+    solid = np.zeros(len(raw) + 2, bool)
+    solid[1:-1] = (raw != 32) & (raw - np.uint8(9) > 4)
     edge = np.flatnonzero(solid[1:] != solid[:-1])
     starts, ends = edge[::2], edge[1::2]
-    if not len(starts):
-        return starts, ends, np.zeros(0, np.uint64)
-    where = np.arange(len(raw)) - np.repeat(np.concatenate([[0], starts[1:]]), np.diff(np.concatenate([[0], starts[1:], [len(raw)]])))
-    where -= starts[0] * (np.arange(len(raw)) < (starts[1] if len(starts) > 1 else len(raw)))
-    where = np.maximum(where, 0)
-    value = np.where(solid[1:-1], raw.astype(np.uint64) + np.uint64(1), np.uint64(0)) * POWERS.upto(int(where.max()) + 1).up[where]
-    return starts, ends, mixed(np.add.reduceat(value, starts) + (ends - starts).astype(np.uint64))
+    h = np.empty(len(starts), np.uint64)
+    cuts = np.unique(np.append(np.searchsorted(starts, np.arange(0, len(raw), STEP)), len(starts)))
+    for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        part = raw[starts[a] : ends[z - 1]]  # of about STEP bytes, so that tables of powers stay small
+        p, sums = POWERS.upto(len(part)), np.zeros(len(part) + 1, np.uint64)
+        value = part.astype(np.uint64)
+        value += np.uint64(1)
+        value *= p.up[: len(part)]
+        np.cumsum(value, out=sums[1:])
+        first, end = starts[a:z] - starts[a], ends[a:z] - starts[a]
+        h[a:z] = (sums[end] - sums[first]) * p.down[first]
+    return starts, ends, mixed(h + (ends - starts).astype(np.uint64))
+
+
+class Read(NamedTuple):
+    """Texts read as one, a line end between them: byte starts and hashes of all words, and per text the byte at which
+    it begins and its words' range."""
+
+    data: bytes
+    starts: np.ndarray
+    h: np.ndarray
+    at: np.ndarray
+    first: np.ndarray
+    end: np.ndarray
+
+
+def together(texts: list[bytes | None]) -> Iterator[Read]:
+    """Consecutive texts of CHUNK bytes or one more text at a time, as what is done once a text costs more than the
+    text itself; null counts as empty."""
+
+    def read() -> Read:
+        data = b"\n".join(part)
+        at = np.cumsum([0, *(len(t) + 1 for t in part)])
+        starts, _, h = words(data)
+        cuts = np.searchsorted(starts, at)
+        return Read(data, starts, h, at[:-1], cuts[:-1], cuts[1:])
+
+    part, size = [], 0
+    for t in texts:
+        part.append(t or b"")
+        size += len(part[-1])
+        if size >= CHUNK:
+            yield read()
+            part, size = [], 0
+    if part:
+        yield read()
 
 
 def lines(h: np.ndarray, length: int = LINE) -> np.ndarray:
@@ -91,23 +132,30 @@ def written(data: bytes, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return cuts[:-1][ok], cuts[1:][ok]
 
 
-def winnowed(h: np.ndarray, window: int = WINDOW) -> np.ndarray:
-    """Positions of window minima, leftmost on ties; in a stretch of one hash, every window-th position and the last."""
-    if len(h) == 0:
-        return np.zeros(0, np.int64)
-    at, width = np.arange(len(h)), 1
-    window = min(window, len(h))
-    while width < window:
-        step = min(width, window - width)
-        a, b = at[:-step], at[step:]
-        at = np.where(h[b] < h[a], b, a)
+def winnowed(r: Read) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and hashes of the lines of LINE words that are minima of WINDOW of their text in a row, or of all if it
+    has fewer: leftmost on ties; in a stretch of one hash, every WINDOW-th position and the last."""
+    each = lines(r.h)
+    h = np.full(len(r.h) + WINDOW, np.iinfo(np.uint64).max)
+    h[: len(each)] = each
+    left = np.repeat(r.end, r.end - r.first) - np.arange(len(r.h))  # words of the text from each word on
+    h[: len(r.h)][left < LINE] = h[-1]  # no line; being greatest and to the right of a text's lines, never the minimum
+    least, at, width = h, np.arange(len(h), dtype=np.int32), 1
+    while width < WINDOW:
+        step = min(width, WINDOW - width)
+        at = np.where(least[step:] < least[:-step], at[step:], at[:-step])
+        least = np.minimum(least[:-step], least[step:])
         width += step
-    found = np.unique(at)
+    whole = left >= LINE + WINDOW - 1
+    whole[r.first[r.end - r.first >= LINE]] = True
+    at = at[: len(r.h)][whole]
+    found = at[np.diff(at, prepend=-1) > 0]
     new = np.ones(len(found), bool)
     new[1:] = (h[found[1:]] != h[found[:-1]]) | (np.diff(found) > 1)
     first = found[np.flatnonzero(new)[np.cumsum(new) - 1]]
-    last = np.append(new[1:], True)
-    return found[((found - first) % window == 0) | last]
+    last = np.append(new[1:], True)[: len(found)]
+    found = found[((found - first) % WINDOW == 0) | last]
+    return found, h[found]
 
 
 def selected(docs: DataFrame) -> DataFrame:
@@ -115,18 +163,16 @@ def selected(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 256):
-            ids, hs, ps, ns = [], [], [], []
-            for i, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                data = t.as_buffer().to_pybytes() if t.is_valid else b""
-                starts, _, h = words(data)
-                each = lines(h)
-                p = winnowed(each)
-                first, end = written(data, starts)
-                ids.append(np.full(len(p) + len(first), i, np.int64))
-                hs += [each[p], units(h, first, end)]
-                ps += [p, first]
-                ns += [np.full(len(p), LINE), end - first]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.concatenate(ids)), pa.array(np.concatenate(ps).astype(np.int32)), pa.array(np.concatenate(ns).astype(np.int16))], names=["h", "id", "pos", "n"])
+            ids, k = b.column(0).to_numpy(zero_copy_only=False), 0
+            for r in together(b.column(1).cast(pa.binary()).to_pylist()):
+                p, h = winnowed(r)
+                first, end = written(r.data, r.starts)
+                pos = np.concatenate([p, first])
+                text = np.searchsorted(r.end, pos, side="right")
+                n = np.concatenate([np.full(len(p), LINE), end - first])
+                h = np.concatenate([h, units(r.h, first, end)])
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[k + text]), pa.array((pos - r.first[text]).astype(np.int32)), pa.array(n.astype(np.int16))], names=["h", "id", "pos", "n"])
+                k += len(r.first)
 
     return docs.mapInArrow(run, "h long, id long, pos int, n short")
 
@@ -156,10 +202,14 @@ def contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32()), ("before", pa.binary()), ("after", pa.binary()), ("check", pa.int64())]))
         for b in slices(batches):
-            for i in range(b.num_rows):
-                h = words((b.column(1)[i].as_py() or "").encode("utf-8", "surrogatepass"))[2]
-                out = [{**r, "before": h[max(0, r["first"] - WINDOW) : r["first"]].tobytes(), "after": h[r["end"] : r["end"] + WINDOW].tobytes(), "check": checked(h, r["first"], r["end"])} for r in b.column(2)[i].as_py()]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, 1), pa.array([out], kind)], names=["src", "around"])
+            k = 0
+            for t in together(b.column(1).cast(pa.binary()).to_pylist()):
+                out = []
+                for i, (a, z) in enumerate(zip(t.first.tolist(), t.end.tolist(), strict=True)):
+                    h = t.h[a:z]
+                    out.append([{**r, "before": h[max(0, r["first"] - WINDOW) : r["first"]].tobytes(), "after": h[r["end"] : r["end"] + WINDOW].tobytes(), "check": checked(h, r["first"], r["end"])} for r in b.column(2)[k + i].as_py()])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(k, len(out)), pa.array(out, kind)], names=["src", "around"])
+                k += len(out)
 
     asked = wanted.distinct().groupBy("src").agg(F.collect_list(F.struct("first", "end")).alias("places"))  # at most one for each selected unit of src
     found = docs.join(asked, docs["id"] == asked["src"]).select("src", "text", "places")
@@ -213,23 +263,23 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         for b in slices(batches):
-            texts, gone = b.column(at).to_pylist(), []
-            for i, runs_ in enumerate(b.column(len(names)).to_pylist()):
-                if not runs_ or texts[i] is None:
-                    gone.append([])
-                    continue
-                data = texts[i].encode("utf-8", "surrogatepass")
-                starts, _, h = words(data)
-                ranges = extended(h, runs_)
-                kept, last = [], 0
-                for a, z in ranges:
-                    kept.append(data[last : starts[a]])
-                    last = starts[z] if z < len(starts) else len(data)
-                kept.append(data[last:])
-                texts[i] = b"".join(kept).decode("utf-8", "surrogatepass")
-                gone.append([{"start": a, "end": z} for a, z in ranges])
+            texts, met, gone = b.column(at).cast(pa.binary()).to_pylist(), b.column(len(names)), [[]] * b.num_rows
+            rows = [i for i, t in enumerate(texts) if t is not None and met[i].is_valid]
+            todo = iter(rows)
+            for t in together([texts[i] for i in rows]):
+                for begin, first, end in zip(t.at.tolist(), t.first.tolist(), t.end.tolist(), strict=True):
+                    i = next(todo)
+                    data = texts[i]
+                    ranges = extended(t.h[first:end], met[i].as_py())
+                    kept, last = [], 0
+                    for a, z in ranges:
+                        kept.append(data[last : t.starts[first + a] - begin])
+                        last = t.starts[first + z] - begin if first + z < end else len(data)
+                    kept.append(data[last:])
+                    texts[i] = b"".join(kept)
+                    gone[i] = [{"start": a, "end": z} for a, z in ranges]
             columns = list(b.columns[:-1])
-            columns[at] = pa.array(texts, pa.string())
+            columns[at] = pa.array(texts, pa.binary()).view(pa.string())
             yield pa.RecordBatch.from_arrays([*columns, pa.array(gone, span)], names=[*names, removed])
 
     schema = T.StructType([*docs.schema.fields, T.StructField(removed, T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])))])
@@ -240,16 +290,9 @@ def digest(docs: DataFrame) -> DataFrame:
     """Per row: how many words went, which ranges of words, and SHA-256 of what is left; rows as deduplicated() has
     them, a null text counting as empty."""
     out = deduplicated(docs.select("doc_id", "text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
-            gone = b.column(2).to_pylist()
-            ranges = [",".join(f"{g['start']}:{g['end']}" for g in r) for r in gone]
-            sums = [sum(g["end"] - g["start"] for g in r) for r in gone]
-            shas = [hashlib.sha256((t or "").encode("utf-8", "surrogatepass")).hexdigest() for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sums, pa.int64()), pa.array(ranges, pa.string()), pa.array(shas)], names=["doc_id", "removed_words", "removed", "text_sha256"])
-
-    return out.mapInArrow(run, "doc_id long, removed_words long, removed string, text_sha256 string")
+    words_ = F.aggregate("removed", F.lit(0).cast("long"), lambda n, g: n + (g["end"] - g["start"]).cast("long"))
+    ranges = F.array_join(F.transform("removed", lambda g: F.concat_ws(":", g["start"], g["end"])), ",")
+    return out.select("doc_id", words_.alias("removed_words"), ranges.alias("removed"), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
