@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import heapq
 import itertools
-import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -276,7 +275,9 @@ def write(tokens: DataFrame, path: str, block_ids: int = BLOCK_IDS, every: int =
     counts = symbol_counts(tokens, kind)
     limit = longest_code(counts)
     lengths = code_lengths(counts, limit)
-    spark.createDataFrame([(bytearray(lengths.tobytes()), every, limit)], "lengths binary, every int, longest int").coalesce(1).write.parquet(f"{path}/code")
+    # From Arrow: rows would be made in Python workers of their own, which stay.
+    head = pa.table({"lengths": pa.array([lengths.tobytes()], pa.binary()), "every": pa.array([every], pa.int32()), "longest": pa.array([limit], pa.int32())})
+    spark.createDataFrame(head).coalesce(1).write.parquet(f"{path}/code")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -338,14 +339,11 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def digests(read_back: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of each row of read()."""
+    """(doc_id, start, n_tokens, ids_crc32) of each row of read().
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            crc = pa.array([zlib.crc32(x.as_buffer()) for x in b.column("ids")], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), crc], names=["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return read_back.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    Summed in the JVM: one more Python function above read() would keep twice as many Python workers, each of which then
+    holds a tokenizer and its chunks when the next texts are encoded."""
+    return read_back.select(F.col("id").alias("doc_id"), "start", F.col("n_ids").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
 def round_trip(docs: DataFrame, tokenizer_file: str, end_id: int | None = 1) -> DataFrame:
