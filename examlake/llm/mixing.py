@@ -100,8 +100,10 @@ class Plan:
         goal = targets(n)
         blocks = [-(-x // block_words) for x in n]
         slots = [min(PASSES * b, round(t * b / x)) if x else 0 for t, b, x in zip(goal, blocks, n, strict=True)]
-        rows = [(r["source"], i, x, t, b, s) for i, (r, x, t, b, s) in enumerate(zip(stats, n, goal, blocks, slots, strict=True))]
-        self.sources = spark.createDataFrame(rows, "source string, sid int, source_size long, target double, blocks long, slots long")
+        # From Arrow: rows would be made in Python workers of their own, which stay.
+        columns = {"source": [r["source"] for r in stats], "sid": range(len(n)), "source_size": n, "target": goal, "blocks": blocks, "slots": slots}
+        kinds = (pa.string(), pa.int32(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
+        self.sources = spark.createDataFrame(pa.table({name: pa.array(x, t) for (name, x), t in zip(columns.items(), kinds, strict=True)}))
         self.slots, self.blocks_, self.seed = slots, blocks, seed
         self.groups = max(1, -(-sum(slots) // GROUP_SLOTS))
 

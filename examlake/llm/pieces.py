@@ -89,10 +89,9 @@ def library(path: str):
 
 def piece_table(spark: SparkSession, v: Vocabulary) -> DataFrame:
     """(piece, piece_id, score, late): as long as the vocabulary."""
-    import pandas as pd
-
-    rows = [(*p, p[0] in v.late) for p in v.pieces]
-    return spark.createDataFrame(pd.DataFrame(rows, columns=["piece", "piece_id", "score", "late"]), "piece string, piece_id int, score double, late boolean")
+    piece, number, score = zip(*v.pieces, strict=True) if v.pieces else ((), (), ())
+    columns = {"piece": pa.array(piece, pa.string()), "piece_id": pa.array(number, pa.int32()), "score": pa.array(score, pa.float64()), "late": pa.array([p in v.late for p in piece], pa.bool_())}
+    return spark.createDataFrame(pa.table(columns))  # from Arrow: rows would be made in Python workers of their own, which stay
 
 
 def lattice(words: DataFrame, table: DataFrame, longest: int) -> DataFrame:
